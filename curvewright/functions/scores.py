@@ -14,22 +14,27 @@ from pyspark.sql import functions as F
 from curvewright.schemas import CURVE_PENALTIES, VALIDATION_PENALTIES
 
 
-def _score(hundredths_lost: Column) -> Column:
-    return F.greatest(F.lit(0), F.lit(100) - hundredths_lost).cast("double") / F.lit(100.0)
-
-
 def _total(terms: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, terms, F.lit(0))
 
 
-def validation_score(faults: Column) -> Column:
-    """Each occurrence of a fault costs its penalty; never below 0."""
+def _left(hundredths_lost: Column) -> Column:
+    return F.greatest(F.lit(0), F.lit(100) - hundredths_lost)
+
+
+def validation_points(faults: Column) -> Column:
+    """Score in hundredths; each occurrence of a fault costs its penalty."""
     listed = F.coalesce(faults, F.array().cast("array<string>"))
     lost = [
         (F.size(listed) - F.size(F.array_remove(listed, name))) * F.lit(cost)
         for name, cost in VALIDATION_PENALTIES.items()
     ]
-    return _score(_total(lost))
+    return _left(_total(lost))
+
+
+def validation_score(faults: Column) -> Column:
+    """Score in [0, 1] of one event at validation."""
+    return validation_points(faults).cast("double") / F.lit(100.0)
 
 
 def curve_score(faults: Column) -> Column:
@@ -39,4 +44,4 @@ def curve_score(faults: Column) -> Column:
         F.when(F.array_contains(listed, name), F.lit(cost)).otherwise(F.lit(0))
         for name, cost in CURVE_PENALTIES.items()
     ]
-    return _score(_total(lost))
+    return _left(_total(lost)).cast("double") / F.lit(100.0)

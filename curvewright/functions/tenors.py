@@ -37,8 +37,8 @@ def stripped(text: Column) -> Column:
 
 
 def _lookup(pairs: dict[str, str], key: Column) -> Column:
-    flat = [F.lit(part) for pair in pairs.items() for part in pair]
-    return F.element_at(F.create_map(*flat), key)
+    entries = ", ".join(f"'{name}', '{value}'" for name, value in pairs.items())
+    return F.element_at(F.expr(f"map({entries})"), key)
 
 
 def _month_by_abbreviation(abbreviation: Column) -> Column:

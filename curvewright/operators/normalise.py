@@ -21,7 +21,8 @@ from curvewright.schemas import INSTRUMENT_ALIASES, INSTRUMENT_UNITS, PRICE
 
 def _constant_map(pairs: dict[str, str]) -> Column:
     """A literal map: at 16 entries a lookup needs no join at all."""
-    return F.create_map(*[F.lit(part) for pair in pairs.items() for part in pair])
+    entries = ", ".join(f"'{key}', '{value}'" for key, value in pairs.items())
+    return F.expr(f"map({entries})")
 
 
 def canonical_instrument(symbol: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curvewright.functions.scores import validation_score
+from curvewright.functions.scores import validation_points
 from curvewright.operators.quantiles import exact_quantiles
 
 # Label, truncation unit and length of each measurement window.
@@ -52,7 +52,7 @@ def quality_history(outcomes: DataFrame, gold: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(passed & (F.size("injected_faults") > 0)).alias("warnings"),
-            F.sum(F.when(passed, validation_score(F.col("injected_faults")))).alias("score_sum"),
+            F.sum(F.when(passed, validation_points(F.col("injected_faults")))).alias("points"),
         )
     )
     spread = _spread(base, "hour")
@@ -61,7 +61,7 @@ def quality_history(outcomes: DataFrame, gold: DataFrame) -> DataFrame:
         F.sum("n").alias("events_count"),
         F.sum(F.when(F.col("outcome") == "failed", F.col("n")).otherwise(0)).alias("dlq_count"),
         F.sum("warnings").alias("warning_count"),
-        F.sum("score_sum").alias("_scores"),
+        F.sum("points").alias("_points"),
         F.sum(F.when(passed, F.col("n"))).alias("_passed"),
         F.sum(F.col("latency_ms") * F.col("n")).alias("_latency"),
     )
@@ -87,7 +87,7 @@ def quality_history(outcomes: DataFrame, gold: DataFrame) -> DataFrame:
             "events_count",
             "dlq_count",
             "warning_count",
-            F.round(F.col("_scores") / F.col("_passed"), 4).alias("quality_score"),
+            F.round(F.col("_points") / (F.col("_passed") * 100), 4).alias("quality_score"),
             "completeness_pct",
             F.round(F.col("_latency") / F.col("_passed"), 2).alias("avg_latency_ms"),
             F.round("p99", 2).alias("p99_latency_ms"),

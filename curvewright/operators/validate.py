@@ -85,7 +85,8 @@ def time_reason(clock: Column, max_age_hours: int, max_future_minutes: int) -> C
 
 def price_reason(min_price: float, max_price: float) -> Column:
     price = F.try_variant_get(F.col("_price"), "$", "double")
-    quoted = F.try_variant_get(F.col("_price"), "$", "string")
+    # Quoted as written; looked up again only for the rows that fail.
+    quoted = F.get_json_object("payload", "$.price")
     return F.when(
         price <= min_price,
         F.concat(F.lit("payload.price "), quoted, F.lit(f" must be > {min_price}")),

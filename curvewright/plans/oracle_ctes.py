@@ -134,10 +134,10 @@ SELECT s.*,
        WHEN a.seq IS NULL THEN NULL
        WHEN event_timestamp < received_at - INTERVAL 24 HOUR THEN
          printf('event_timestamp is %.1fh old, exceeds max age of 24h',
-                epoch_us(received_at) / 3.6e9 - epoch_us(event_timestamp) / 3.6e9)
+                round((epoch_us(received_at) - epoch_us(event_timestamp)) / 1e6 / 3600, 1))
        WHEN event_timestamp > received_at + INTERVAL 5 MINUTE THEN
          printf('event_timestamp is %.1fmin in the future, exceeds max of 5min',
-                epoch_us(event_timestamp) / 6e7 - epoch_us(received_at) / 6e7)
+                round((epoch_us(event_timestamp) - epoch_us(received_at)) / 1e6 / 60, 1))
        WHEN price <= 0 THEN 'payload.price ' || CAST(price AS VARCHAR) || ' must be > 0.0'
        WHEN price >= 1000000 THEN
          'payload.price ' || CAST(price AS VARCHAR) || ' must be < 1000000.0' END AS reason,

@@ -442,8 +442,6 @@ def gold_shape(st: Stages):
     )
 
 
-
-
 @query("quality_history", """
 SELECT o.provider, o.measurement_window, o.window_start, o.window_end, o.events_count,
   o.dlq_count, o.warning_count, o.quality_score, c.completeness_pct, o.avg_latency_ms,
@@ -459,7 +457,7 @@ FROM (
     count(*) AS events_count,
     count(*) FILTER (outcome = 'failed') AS dlq_count,
     count(*) FILTER (outcome = 'passed' AND len(faults) > 0) AS warning_count,
-    round(avg(CAST(score AS DOUBLE)), 4) AS quality_score,
+    round(sum(CAST(round(score * 100) AS BIGINT)) / (count(score) * 100), 4) AS quality_score,
     round(avg(CASE WHEN outcome = 'passed' THEN floor(latency_ms) END), 2) AS avg_latency_ms,
     round(quantile_cont(CASE WHEN outcome = 'passed' THEN floor(latency_ms) END, 0.99), 2)
       AS p99_latency_ms

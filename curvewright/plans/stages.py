@@ -6,10 +6,12 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curvewright.operators import gold, normalise, validate
 from curvewright.plans.inputs import query_clock, raw_market_events
 from curvewright.session import configure
+from curvewright.sources.tables import silver_rows
 
 DAY = 86_400
 
@@ -68,3 +70,21 @@ class Stages:
     @cached_property
     def gold(self) -> DataFrame:
         return gold.gold_table(self.curves, DAY, stale_after_seconds=12 * 3600)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return silver_rows(self.curves)
+
+    @cached_property
+    def silver_unversioned(self) -> DataFrame:
+        """Silver for reads that do not look at versions."""
+        return silver_rows(self.curves_unversioned.withColumn("version", F.lit(0).cast("bigint")))
+
+    @cached_property
+    def dlq_table(self) -> DataFrame:
+        """Dead letters with the retry state derived from the event number."""
+        number = F.expr("arrival_seq div 2")
+        states = F.array(*[F.lit(s) for s in ("PENDING", "RETRYING", "RESOLVED", "ABANDONED")])
+        return self.dead_letters.withColumn(
+            "retry_count", F.pmod(number, F.lit(4)).cast("int")
+        ).withColumn("retry_status", F.element_at(states, F.col("retry_count") + 1))

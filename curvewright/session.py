@@ -31,6 +31,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .appName("curvewright")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call-site capture costs a JVM round trip for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

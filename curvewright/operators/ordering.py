@@ -75,3 +75,34 @@ def first_n(
         whole, ["_all"], "_position", clock=order[0], order=order, bucket_seconds=bucket_seconds
     )
     return placed.where(F.col("_position") <= n).drop("_all", "_position")
+
+
+def next_arrival(
+    df: DataFrame, keys: Sequence[str], clock: str, name: str, bucket_seconds: int = 3600
+) -> DataFrame:
+    """Distinct times of each key with the time that follows (NULL for the last).
+
+    Inside a bucket the following time is a ``lead``; the last time of a bucket
+    takes the earliest time of the next bucket that has any.
+    """
+    second = F.unix_seconds(F.col(clock))
+    times = (
+        df.select(
+            *keys, clock, (second - F.pmod(second, F.lit(bucket_seconds))).alias("_bucket")
+        )
+        .groupBy(*keys, "_bucket", clock)
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
+    following = (
+        times.groupBy(*keys, "_bucket")
+        .agg(F.min(clock).alias("_first"))
+        .withColumn("_following", F.lead("_first").over(by_bucket))
+        .drop("_first")
+    )
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(clock)
+    return (
+        times.withColumn("_lead", F.lead(clock).over(inside))
+        .join(following, [*keys, "_bucket"])
+        .select(*keys, clock, "events", F.coalesce("_lead", "_following").alias(name))
+    )

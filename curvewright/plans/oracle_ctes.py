@@ -89,7 +89,7 @@ FROM w_copies
 define("w_clock", "SELECT max(received_at) AS as_of FROM w_raw")
 
 define("w_structure", """
-SELECT *, epoch_ms(received_at) AS ms,
+SELECT *, epoch_us(received_at) // 1000 AS ms,
   CASE WHEN event_id = '' OR provider = '' THEN 'missing_required_field'
        WHEN price_kind = 'text' THEN 'schema_violation' END AS structure_category,
   CASE WHEN event_id = '' OR provider = '' THEN

@@ -12,6 +12,11 @@ from curvewright.plans.stages import DAY, Stages
 # Half-complete curves are served here so that most instruments qualify.
 HALF = 0.5
 
+define("w_latest", """
+SELECT instrument, tenor, price, quality_score, event_timestamp AS last_updated FROM (
+  SELECT *, row_number() OVER (PARTITION BY instrument, tenor ORDER BY received_at DESC, seq DESC)
+    AS rn FROM w_curve) WHERE rn = 1
+""")
 define("w_served", """
 SELECT l.instrument, count(*) AS tenor_count, any_value(f.curve_name) AS curve_name,
   any_value(f.provider) AS provider, any_value(f.event_timestamp) AS as_of,
@@ -23,11 +28,6 @@ JOIN (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY received_at
 JOIN w_unit u ON u.canonical = l.instrument
 GROUP BY l.instrument
 """)
-define("w_latest", """
-SELECT instrument, tenor, price, quality_score, event_timestamp AS last_updated FROM (
-  SELECT *, row_number() OVER (PARTITION BY instrument, tenor ORDER BY received_at DESC, seq DESC)
-    AS rn FROM w_curve) WHERE rn = 1
-""")
 
 
 @query("srv_latest", """
@@ -40,9 +40,9 @@ def srv_latest(st: Stages):
 
 
 @query("srv_history", """
-SELECT instrument, event_id, epoch_ms(event_timestamp) AS event_timestamp_ms FROM w_curve
+SELECT instrument, event_id, epoch_us(event_timestamp) // 1000 AS event_timestamp_ms FROM w_curve
 QUALIFY row_number() OVER (PARTITION BY instrument
-  ORDER BY epoch_ms(event_timestamp) DESC, event_id DESC) <= 1000
+  ORDER BY epoch_us(event_timestamp) // 1000 DESC, event_id DESC) <= 1000
 """)
 def srv_history(st: Stages):
     return serving.history(st.curves_unversioned).select(

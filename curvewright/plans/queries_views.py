@@ -98,12 +98,12 @@ SELECT provider, instrument, count(*) AS expected_slots, count(filled) AS filled
   max(CASE WHEN filled IS NULL THEN slot END) AS last_gap
 FROM (
   SELECT i.provider, i.instrument, date_trunc('hour', as_of) - to_hours(h.range) AS slot
-  FROM (SELECT DISTINCT provider, instrument FROM w_gold, w_clock
-        WHERE snapshot_time >= as_of - INTERVAL 24 HOUR) i, range(24) h, w_clock) e
+  FROM (SELECT DISTINCT provider, instrument FROM w_gold
+        WHERE snapshot_time >= (SELECT as_of FROM w_clock) - INTERVAL 24 HOUR) i, range(24) h, w_clock) e
 LEFT JOIN (
   SELECT provider, instrument, date_trunc('hour', snapshot_time) AS slot, 1 AS filled,
     max(quality_score) AS q, max(completeness_pct) AS c
-  FROM w_gold, w_clock WHERE snapshot_time >= as_of - INTERVAL 24 HOUR GROUP BY 1, 2, 3) a
+  FROM w_gold WHERE snapshot_time >= (SELECT as_of FROM w_clock) - INTERVAL 24 HOUR GROUP BY 1, 2, 3) a
 USING (provider, instrument, slot)
 GROUP BY provider, instrument
 """)
@@ -133,8 +133,8 @@ def q_curve_get(st: Stages):
 
 
 @query("q_curve_history", """
-SELECT event_id, tenor, price, epoch_ms(event_timestamp) AS event_timestamp_ms FROM w_curve
-WHERE instrument = 'NBP' ORDER BY epoch_ms(event_timestamp) DESC, event_id DESC LIMIT 20
+SELECT event_id, tenor, price, epoch_us(event_timestamp) // 1000 AS event_timestamp_ms FROM w_curve
+WHERE instrument = 'NBP' ORDER BY epoch_us(event_timestamp) // 1000 DESC, event_id DESC LIMIT 20
 """)
 def q_curve_history(st: Stages):
     return views.curve_history(st.curves_unversioned, "NBP").select(

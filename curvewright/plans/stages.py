@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvewright.operators import gold, normalise, validate
+from curvewright.operators import alerts, gold, normalise, validate
 from curvewright.plans.inputs import query_clock, raw_market_events
 from curvewright.session import configure
 from curvewright.sources.tables import silver_rows
@@ -88,3 +88,98 @@ class Stages:
         return self.dead_letters.withColumn(
             "retry_count", F.pmod(number, F.lit(4)).cast("int")
         ).withColumn("retry_status", F.element_at(states, F.col("retry_count") + 1))
+
+    @cached_property
+    def load_log(self) -> DataFrame:
+        """One load per layer, provider and hour of arrival; durations follow the row count."""
+        per_hour = self.raw.groupBy(
+            "provider", F.date_trunc("hour", "received_at").alias("loaded_at")
+        ).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.length("payload")).alias("bytes"),
+        )
+        layers = F.array(
+            *[
+                F.struct(F.lit(name).alias("layer"), F.lit(factor).alias("factor"))
+                for name, factor in (("bronze", 1), ("silver", 2), ("gold", 3))
+            ]
+        )
+        slot = F.expr("unix_seconds(loaded_at) div 3600")
+        return per_hour.select("*", F.inline(layers)).select(
+            "layer",
+            "provider",
+            "loaded_at",
+            "rows",
+            "bytes",
+            (F.col("rows") * 137 * F.col("factor") + slot % 11 * 400).alias("duration_ms"),
+            F.when((slot + F.col("factor")) % 23 == 0, "failed").otherwise("success").alias("outcome"),
+        )
+
+    @cached_property
+    def replay_jobs(self) -> DataFrame:
+        """One replay job per day and provider, covering that day."""
+        day = F.date_trunc("day", "received_at")
+        jobs = self.raw.where("provider <> ''").groupBy("provider", day.alias("start_time")).agg(
+            F.count(F.lit(1)).alias("events_to_replay")
+        )
+        number = F.dayofmonth("start_time")
+        states = F.array(*[F.lit(s) for s in ("completed", "failed", "running", "pending")])
+        sources = F.array(*[F.lit(s) for s in ("bronze_s3", "dlq", "databento_historical")])
+        return jobs.select(
+            F.concat_ws("-", F.lit("job"), "provider", F.date_format("start_time", "yyyyMMdd")).alias(
+                "job_id"
+            ),
+            F.element_at(sources, number % 3 + 1).alias("source"),
+            "provider",
+            "start_time",
+            (F.col("start_time") + F.expr("INTERVAL 1 DAY")).alias("end_time"),
+            (F.col("start_time") + F.expr("INTERVAL 30 HOUR")).alias("requested_at"),
+            F.element_at(states, number % 4 + 1).alias("status"),
+            "events_to_replay",
+            (F.col("events_to_replay") - F.when(number % 5 == 0, 3).otherwise(0)).alias(
+                "events_replayed"
+            ),
+            (F.col("events_to_replay") * 20 + number * 1000).alias("duration_ms"),
+        )
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        """Alerts of four rules over the derived feed, in the common form."""
+        hour = 3600
+        spike = alerts.held(
+            alerts.dlq_rate_evaluations(self.dead_letters, 6 * hour, hour, 0.004),
+            ["provider"],
+            hour,
+            hour,
+        )
+        critical = alerts.held(
+            alerts.dlq_rate_evaluations(self.dead_letters, 12 * hour, hour, 0.006),
+            ["provider"],
+            hour,
+            0,
+        )
+        malformed = alerts.held(
+            alerts.malformed_evaluations(self.outcomes, 6 * hour, hour, 0.05),
+            ["provider"],
+            hour,
+            hour,
+        )
+        outage = alerts.provider_outage(self.raw, 4 * hour, 600)
+        return (
+            alerts.alert_rows(spike, "DLQSpike", "validation", "warning", "starts_at", "ends_at")
+            .unionByName(
+                alerts.alert_rows(
+                    critical, "DLQCritical", "validation", "critical", "starts_at", "ends_at"
+                )
+            )
+            .unionByName(
+                alerts.alert_rows(
+                    malformed, "HighMalformedRate", "feed", "warning", "starts_at", "ends_at"
+                )
+            )
+            .unionByName(
+                alerts.alert_rows(
+                    outage, "ProviderOutage", "feed", "critical", "starts_at", "ends_at"
+                )
+            )
+        )

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +42,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return configure(spark)
 
 
+_test_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -53,6 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="curvewright-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _test_dirs:
+        _test_dirs[app] = tempfile.mkdtemp(prefix="curvewright-", dir="/tmp")
+    return _test_dirs[app]
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new, not yet existing folder for one run's tables."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Microseconds and nulls survive the trip through text.
+JSON_TEXT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 
 

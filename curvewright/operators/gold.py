@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvewright.functions.clock import after, floor_to
+from curvewright.functions.clock import after
 from curvewright.functions.tenors import delivery_start
 
 WINDOW_SECONDS = 300
@@ -18,14 +18,15 @@ def tenor_prices(curves: DataFrame, window_seconds: int = WINDOW_SECONDS) -> Dat
     """Last arriving price per (curve, window, tenor).
 
     One aggregation with map-side combine; the arrival order is the ordering
-    argument, so nothing is sorted by window or collected.
+    argument, so nothing is sorted by window or collected. The grouping is a
+    time window, so the same plan runs on a stream with a watermark.
     """
+    width = F.window("event_timestamp", f"{window_seconds} seconds")
     arrival = F.struct("ingestion_timestamp", "arrival_seq")
     first = F.struct("provider", "instrument")
     last = F.struct("price", "quality_score", "event_timestamp")
     return (
-        curves.withColumn("window_start", floor_to(F.col("event_timestamp"), window_seconds))
-        .groupBy("curve_name", "window_start", "tenor")
+        curves.groupBy("curve_name", width.alias("window"), "tenor")
         .agg(
             F.max_by(last, arrival).alias("last"),
             F.min(F.struct(arrival.alias("arrival"), first.alias("first"))).alias("opening"),
@@ -34,7 +35,7 @@ def tenor_prices(curves: DataFrame, window_seconds: int = WINDOW_SECONDS) -> Dat
         )
         .select(
             "curve_name",
-            "window_start",
+            F.col("window.start").alias("window_start"),
             "tenor",
             F.col("last.price").alias("price"),
             F.col("last.quality_score").alias("quality_score"),
@@ -75,8 +76,14 @@ def window_rows(prices: DataFrame) -> DataFrame:
     )
 
 
-def with_expected(windows: DataFrame, override: int = 0) -> DataFrame:
-    """Expected tenors: the override, or the most seen so far on the curve."""
+def with_expected(
+    windows: DataFrame, override: int = 0, earlier: DataFrame | None = None
+) -> DataFrame:
+    """Expected tenors: the override, or the most seen so far on the curve.
+
+    ``earlier`` optionally carries ``(curve_name, expected_tenors)`` from
+    windows closed before these.
+    """
     if override > 0:
         return windows.withColumn("expected_tenors", F.lit(override))
     so_far = (
@@ -85,7 +92,16 @@ def with_expected(windows: DataFrame, override: int = 0) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     # One row per window: a curve has few, whatever its event rate.
-    return windows.withColumn("expected_tenors", F.max("num_tenors").over(so_far))
+    expected = F.max("num_tenors").over(so_far)
+    if earlier is None:
+        return windows.withColumn("expected_tenors", expected)
+    known = earlier.select("curve_name", F.col("expected_tenors").alias("_known"))
+    return (
+        windows.withColumn("expected_tenors", expected)
+        .join(known, "curve_name", "left")
+        .withColumn("expected_tenors", F.greatest("expected_tenors", "_known"))
+        .drop("_known")
+    )
 
 
 def assemble(

@@ -235,7 +235,7 @@ RAW_FIELDS = (
 
 def raw_document() -> Column:
     """The raw event as one JSON text, kept verbatim in dead-letter rows."""
-    return F.to_json(F.struct(*RAW_FIELDS), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*RAW_FIELDS), P.JSON_TEXT)
 
 
 def dead_letters(outcomes: DataFrame) -> DataFrame:
@@ -317,9 +317,8 @@ def rolling_scores(
     double, so each block of segments needs only the 64 before it and no
     provider is ever gathered.
 
-    ``start`` optionally carries ``(provider, position)``, the number of events
-    already seen, and ``carried_sum`` at the last halving plus
-    ``segment_sum`` since then.
+    ``start`` optionally carries what :func:`rolling_carry` returned for the
+    events before these.
     """
     step = (window + 1) // 2
     placed = running_position(
@@ -387,7 +386,9 @@ def rolling_scores(
         )
         .withColumn("rolling_count", (opening + F.col("_offset")) / halves)
         .withColumn("rolling_average", F.col("rolling_sum") / F.col("rolling_count"))
-        .drop("_partial", "_offset", "carried", "_already")
+        .withColumn("carried_sum", F.coalesce("carried", F.lit(0.0)))
+        .withColumnRenamed("_partial", "segment_sum")
+        .drop("_offset", "carried", "_already")
     )
 
 
@@ -409,6 +410,20 @@ def carried_sums(totals: DataFrame, block: int) -> DataFrame:
     return both.withColumn("carried", folded).where("_own").select("provider", "segment", "carried")
 
 
+def rolling_carry(rolled: DataFrame) -> DataFrame:
+    """What the next batch needs: position, open segment and its sums, per provider."""
+    last = F.max(
+        F.struct(
+            "position",
+            F.col("segment").alias("open_segment"),
+            "carried_sum",
+            "segment_sum",
+            "rolling_average",
+        )
+    )
+    return rolled.groupBy("provider").agg(last.alias("last")).select("provider", "last.*")
+
+
 def rolling_state(rolled: DataFrame) -> DataFrame:
     """Each provider's sum, count and average after its last event."""
     last = F.max(

@@ -23,9 +23,9 @@ SELECT layer, provider, loaded_at, n AS n_rows, n * 137 * factor + slot % 11 * 4
 FROM (
   SELECT provider, date_trunc('hour', received_at) AS loaded_at, count(*) AS n,
     epoch_us(date_trunc('hour', received_at)) // 3600000000 AS slot,
-    sum(CASE price_kind WHEN 'text' THEN 26 WHEN 'null' THEN 13 WHEN 'absent' THEN 0
+    sum(CASE price_kind WHEN 'text' THEN 24 WHEN 'null' THEN 13 WHEN 'absent' THEN 0
         ELSE 9 + length(CAST(price AS VARCHAR)) END
-        + 1 + 8 + coalesce(length(raw_tenor) + 2, 4) + 10 + length(CAST(k AS VARCHAR)) + 55)
+        + 1 + 8 + coalesce(length(raw_tenor) + 2, 4) + 10 + length(CAST(k AS VARCHAR)) + 56)
       AS n_bytes
   FROM w_raw GROUP BY 1, 2), (VALUES ('bronze', 1), ('silver', 2), ('gold', 3)) l(layer, factor)
 """)
@@ -248,8 +248,8 @@ def mon_dlq_depth(st: Stages):
 
 @query("mon_bronze_stats", """
 SELECT provider, outcome, count(*) AS runs, CAST(sum(n_bytes) AS BIGINT) AS bytes,
-  quantile_cont(duration_ms, 0.5) AS p50, quantile_cont(duration_ms, 0.95) AS p95,
-  quantile_cont(duration_ms, 0.99) AS p99
+  round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95,
+  round(quantile_cont(duration_ms, 0.99), 6) AS p99
 FROM (SELECT * REPLACE (CAST(duration_ms AS DOUBLE) AS duration_ms) FROM w_load_log)
 WHERE layer = 'bronze' GROUP BY 1, 2
 """)
@@ -262,8 +262,8 @@ def mon_bronze_stats(st: Stages):
 
 @query("mon_load_stats", """
 SELECT layer, outcome, count(*) AS runs, CAST(sum(n_rows) AS BIGINT) AS rows_loaded,
-  quantile_cont(duration_ms, 0.5) AS p50, quantile_cont(duration_ms, 0.95) AS p95,
-  quantile_cont(duration_ms, 0.99) AS p99
+  round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95,
+  round(quantile_cont(duration_ms, 0.99), 6) AS p99
 FROM (SELECT * REPLACE (CAST(duration_ms AS DOUBLE) AS duration_ms) FROM w_load_log) GROUP BY 1, 2
 """)
 def mon_load_stats(st: Stages):
@@ -275,8 +275,8 @@ def mon_load_stats(st: Stages):
 
 @query("mon_replay_stats", """
 SELECT source, status, count(*) AS runs, CAST(sum(events_replayed) AS BIGINT) AS events,
-  quantile_cont(duration_ms, 0.5) AS p50, quantile_cont(duration_ms, 0.95) AS p95,
-  quantile_cont(duration_ms, 0.99) AS p99
+  round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95,
+  round(quantile_cont(duration_ms, 0.99), 6) AS p99
 FROM (SELECT * REPLACE (CAST(duration_ms AS DOUBLE) AS duration_ms) FROM w_job) GROUP BY 1, 2
 """)
 def mon_replay_stats(st: Stages):
@@ -288,7 +288,7 @@ def mon_replay_stats(st: Stages):
 
 def _quantiles_as_doubles(stats):
     for name in ("p50", "p95", "p99"):
-        stats = stats.withColumn(name, F.col(name).cast("double"))
+        stats = stats.withColumn(name, F.round(F.col(name).cast("double"), 6))
     return stats
 
 

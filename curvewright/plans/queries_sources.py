@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curvewright.functions.payload import JSON_TEXT
+from curvewright.functions.pin import pin
 from curvewright.operators import replay, validate
 from curvewright.plans import queries_monitor  # noqa: F401
 from curvewright.plans.inputs import table
@@ -28,8 +30,8 @@ def messages(st: Stages) -> DataFrame:
         "injected_faults",
         F.when(number % 313 == 0, F.array(F.lit("gremlin"))).otherwise(F.col("injected_faults")),
     )
-    text = F.to_json(F.struct(*validate.RAW_FIELDS), {"ignoreNullFields": "false"})
-    return nested.select(
+    text = F.col("text")
+    return pin(nested, {"text": validate.raw_document()}).select(
         F.when(number % 307 == 0, F.substring(text, 1, 40))
         .when(number % 311 == 0, F.regexp_replace(text, r'"payload":\{.*\},"inj', '"payload":5,"inj'))
         .otherwise(text)
@@ -206,7 +208,7 @@ WHERE provider = 'provider-a' AND date_trunc('hour', received_at) >= TIMESTAMP '
   AND date_trunc('hour', received_at) <= TIMESTAMP '2024-01-08 18:00:00'
 """)
 def bronze_scan(st: Stages):
-    return bronze.scan_bronze(written_bronze(st), "provider-a", FROM, TO).select(
+    return bronze.scan_bronze(_bronze_frame(st), "provider-a", FROM, TO).select(
         "arrival_seq", "received_at"
     )
 
@@ -236,10 +238,10 @@ FROM w_curve
 """)
 def silver_load(st: Stages):
     path = fresh_path(st.spark, "silver")
-    rows = st.silver_unversioned
+    rows = upserts.staged(st.silver_unversioned, fresh_path(st.spark, "staging"))
     # Two overlapping batches: the second repeats half of the first.
-    upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") <= 20), path)
-    upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") > 10), path)
+    upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") <= 20), path, fresh_path(st.spark, "staging"))
+    upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") > 10), path, fresh_path(st.spark, "staging"))
     return st.spark.read.parquet(path).select(
         "event_id", "curve_name", "tenor", "price", F.col("curve_date").cast("date")
     )
@@ -252,7 +254,8 @@ FROM w_gold
 """)
 def gold_merge(st: Stages):
     path = fresh_path(st.spark, "gold")
-    keyed = st.gold.select("curve_name", "as_of", "curve_date", "version", "front_price")
+    columns = ["curve_name", "as_of", "curve_date", "version", "front_price"]
+    keyed = upserts.staged(st.gold.select(*columns), fresh_path(st.spark, "staging"))
     first = keyed.where(F.dayofmonth("as_of") <= 20).withColumn("history", F.lit("once"))
     again = keyed.where(F.dayofmonth("as_of") > 10).withColumn(
         "history", F.when(F.dayofmonth("as_of") <= 20, "rewritten").otherwise("once")
@@ -265,7 +268,7 @@ def gold_merge(st: Stages):
 
 
 def _documents(rows: DataFrame) -> DataFrame:
-    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("document"))
+    return rows.select(F.to_json(F.struct("*"), JSON_TEXT).alias("document"))
 
 
 @query("silver_pipe", """

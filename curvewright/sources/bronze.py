@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from curvewright.functions.payload import JSON_TEXT
+
 PARTITIONS = ("provider", "dt", "hh")
 ROWS_PER_FILE = 5_000_000
 
@@ -18,7 +20,7 @@ def sanitise(df: DataFrame) -> DataFrame:
     nested = (T.StructType, T.MapType, T.ArrayType, T.VariantType)
     return df.select(
         *[
-            F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
+            F.to_json(f.name, JSON_TEXT).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
             for f in df.schema.fields
         ]
     )

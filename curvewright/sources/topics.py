@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvewright.functions.clock import utc
+from curvewright.functions.payload import JSON_TEXT
+from curvewright.functions.pin import pin
 from curvewright.schemas import FAULT_TYPES, REPLAY_SOURCES
 
 _ENVELOPE = (
@@ -63,8 +65,6 @@ def decode_all(messages: DataFrame) -> DataFrame:
     The envelope's own ``received_at`` wins over the transport's. Absent ids
     are filled with a hash of the message, so a retry fills the same ones.
     """
-    from curvewright.functions.pin import pin
-
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     parsed = pin(
         messages.withColumnRenamed("received_at", "_transport_time"),
@@ -129,7 +129,7 @@ def as_messages(
     )
     return rows.select(
         key.cast("string").alias("key"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        F.to_json(F.struct(*fields), JSON_TEXT).alias("value"),
         listed.alias("headers"),
     )
 

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written there yet."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -35,13 +36,19 @@ def one_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def load_silver(batch: DataFrame, path: str) -> None:
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Write rows once and go on from the written table."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def load_silver(batch: DataFrame, path: str, staging: str) -> None:
     """Append the batch's new event ids; ids loaded before are left alone."""
     spark = batch.sparkSession
-    fresh = one_per_key(batch, ["event_id"], ["received_at"])
-    loaded = _existing(spark, path)
+    fresh = staged(one_per_key(batch, ["event_id"], ["received_at"]), staging)
+    loaded = existing_table(spark, path)
     if loaded is not None:
-        days = _days(batch, "curve_date")
+        days = _days(fresh, "curve_date")
         seen = loaded.where(F.col("curve_date").isin(days)).select("curve_date", "event_id")
         fresh = fresh.join(seen, ["curve_date", "event_id"], "left_anti")
     (
@@ -82,13 +89,13 @@ def merge_gold(batch: DataFrame, path: str, staging: str) -> dict[str, int]:
     be overwritten while it is read; the copy then replaces those days.
     """
     spark = batch.sparkSession
-    existing = _existing(spark, path)
+    batch = staged(batch, f"{staging}/batch")
+    existing = existing_table(spark, path)
     if existing is not None:
         existing = existing.where(F.col("curve_date").isin(_days(batch, "curve_date")))
-    merged(existing, batch).write.mode("overwrite").parquet(staging)
     counts = merge_counts(existing, batch).first().asDict()
     (
-        spark.read.parquet(staging)
+        staged(merged(existing, batch), f"{staging}/merged")
         .hint("rebalance", F.col("curve_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

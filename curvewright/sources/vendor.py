@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curvewright.functions.payload import JSON_TEXT
 from curvewright.schemas import VENDOR_CONTRACTS
 
 SCALE = 1e-9
@@ -47,7 +48,7 @@ def bar_events(bars: DataFrame, provider: str = "databento") -> DataFrame:
             F.lit("databento").alias("source"),
             F.lit("1.0").alias("schema_version"),
         ),
-        {"ignoreNullFields": "false"},
+        JSON_TEXT,
     )
     event_time = _nanos_to_time(F.col("ts_event"))
     identity = F.concat_ws("|", F.lit("bar"), "instrument", "symbol", "ts_event", "arrival_seq")
@@ -91,7 +92,7 @@ def trade_events(
         named.alias("instrument"),
         received_at.alias("received_at"),
         _nanos_to_time(F.col("ts_event")).alias("event_timestamp"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"),
+        F.to_json(F.struct(*fields), JSON_TEXT).alias("payload"),
         F.array().cast("array<string>").alias("injected_faults"),
         F.lit(True).alias("is_replay"),
         F.lit("databento_historical").alias("replay_source"),

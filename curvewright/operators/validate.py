@@ -320,22 +320,33 @@ def rolling_scores(
     ``start`` optionally carries what :func:`rolling_carry` returned for the
     events before these.
     """
-    step = (window + 1) // 2
+    lengths, openings = halving_schedule(window)
+    starts = [sum(lengths[:i]) for i in range(len(lengths))]
+    cycle = sum(lengths)
     placed = running_position(
         scored,
         ["provider"],
         "position",
         start=None if start is None else start.select("provider", "position"),
     )
-    # Segment 0 holds the first ``window`` events, later ones ``step`` each.
-    segment = F.when(F.col("position") <= window, F.lit(0).cast("bigint")).otherwise(
-        F.floor((F.col("position") - window - 1) / F.lit(step)) + 1
-    )
-    placed = placed.withColumn("segment", segment).withColumn(
-        "_offset",
-        F.when(F.col("segment") == 0, F.col("position")).otherwise(
-            F.col("position") - window - (F.col("segment") - 1) * step
-        ),
+    # Segment 0 holds the first ``window`` events; the cycle of lengths follows.
+    beyond = F.col("position") - window - 1
+    in_cycle = F.pmod(beyond, F.lit(cycle))
+    turn = F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= in_cycle))
+    placed = (
+        placed.withColumn("_turn", F.when(beyond < 0, 0).otherwise(turn))
+        .withColumn(
+            "segment",
+            F.when(F.col("_turn") == 0, F.lit(0).cast("bigint")).otherwise(
+                F.floor(beyond / F.lit(cycle)) * len(lengths) + F.col("_turn")
+            ),
+        )
+        .withColumn(
+            "_offset",
+            F.when(F.col("_turn") == 0, F.col("position")).otherwise(
+                in_cycle - F.get(F.array(*[F.lit(s) for s in starts]), F.col("_turn") - 1) + 1
+            ),
+        )
     )
 
     totals = placed.groupBy("provider", "segment").agg(F.sum("quality_score").alias("total"))
@@ -372,26 +383,43 @@ def rolling_scores(
         result = result.join(earlier, ["provider", "segment"], "left").withColumn(
             "_partial", F.col("_partial") + F.coalesce("_already", F.lit(0.0))
         )
-    # Count at the start of segment k: step, less 2**-k when window is odd.
-    opening = F.when(F.col("segment") == 0, F.lit(0.0)).otherwise(
-        F.lit(float(step)) - F.lit(float(window % 2)) * F.pow(F.lit(0.5), F.col("segment"))
-    )
-    halves = F.when(
-        (F.col("position") >= window) & (F.pmod(F.col("position") - window, F.lit(step)) == 0), 2.0
-    ).otherwise(1.0)
+    def of_segment(values: list, first) -> Column:
+        listed = F.array(*[F.lit(v) for v in [first, *values]])
+        return F.get(listed, F.col("_turn"))
+
+    halves = F.when(F.col("_offset") == of_segment(lengths, window), 2.0).otherwise(1.0)
     return (
         result.withColumn(
             "rolling_sum",
             (F.coalesce("carried", F.lit(0.0)) + F.col("_partial")) / halves,
         )
-        .withColumn("rolling_count", (opening + F.col("_offset")) / halves)
+        .withColumn("rolling_count", (of_segment(openings, 0.0) + F.col("_offset")) / halves)
         .withColumn("rolling_average", F.col("rolling_sum") / F.col("rolling_count"))
         .withColumn("carried_sum", F.coalesce("carried", F.lit(0.0)))
         .withColumnRenamed("_partial", "segment_sum")
-        .drop("_offset", "carried", "_already")
+        .drop("_offset", "_turn", "carried", "_already")
     )
 
 
+def halving_schedule(window: int) -> tuple[list[int], list[float]]:
+    """Lengths and opening counts of the segments after the first.
+
+    The count depends on the number of events alone, so its course is known in
+    advance: it returns to the same value after a few halvings.
+    """
+    lengths: list[int] = []
+    openings: list[float] = []
+    count = window / 2
+    while not openings or count != openings[0]:
+        openings.append(count)
+        steps = 0
+        while count < window:
+            count, steps = count + 1.0, steps + 1
+        lengths.append(steps)
+        count /= 2
+    return lengths, openings
+
+
 def carried_sums(totals: DataFrame, block: int) -> DataFrame:
     """Sum carried into each segment: fold of ``(carried + total) / 2``."""
     reach = 64

@@ -97,7 +97,7 @@ def read_landing(spark: SparkSession, path: str, array_files: bool = False) -> D
         return spark.read.text(path).where("trim(value) <> ''").select(
             F.col("value").alias("document")
         )
-    return documents_of_arrays(spark.read.option("wholetext", "true").text(path))
+    return documents_of_arrays(spark.read.text(path, wholetext=True))
 
 
 def documents_of_arrays(arrays: DataFrame) -> DataFrame:

@@ -86,6 +86,8 @@ def accepted_arrivals(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
             (at_ms - F.pmod(at_ms, F.lit(cell_ms))).alias("_cell"),
             F.struct("received_at", "arrival_seq").alias("_arrival"),
         )
+        # The join below implies these; spelled out, both branches stay identical.
+        .where("event_id IS NOT NULL AND _cell IS NOT NULL")
         .groupBy("event_id", "_cell", "_at_ms")
         .agg(F.min("_arrival").alias("_first"))
     )

@@ -192,10 +192,10 @@ JOIN (
   WHERE n >= 0.95 * total AND under < 0.95 * total) b USING (provider)
 """)
 def mon_latency_p95(st: Stages):
-    timed = st.outcomes.where("outcome = 'passed'").withColumn("latency_ms", latency_ms())
+    timed = st.kept.outcomes.where("outcome = 'passed'").withColumn("latency_ms", latency_ms())
     exact = monitor.exact_p95(timed, ["provider"], "latency_ms").withColumnRenamed("p95", "p95_ms")
     bucketed = monitor.bucket_quantile(
-        validate.latency_histogram(st.outcomes), ["provider"], 0.95
+        validate.latency_histogram(st.kept.outcomes), ["provider"], 0.95
     ).withColumnRenamed("quantile", "bucketed_seconds")
     return exact.join(bucketed, "provider").select(
         "provider", r6("p95_ms"), r6("bucketed_seconds")
@@ -312,8 +312,8 @@ LEFT JOIN (
 """)
 def mon_triage(st: Stages):
     return monitor.triage(
-        serving.provider_health(st.curves_unversioned, st.as_of),
-        serving.provider_quality(st.outcomes, st.as_of, DAY),
+        serving.provider_health(st.kept.curves_unversioned, st.as_of),
+        serving.provider_quality(st.kept.outcomes, st.as_of, DAY),
         st.as_of,
     )
 

@@ -350,7 +350,7 @@ SELECT provider, measurement_window, window_start, window_end, events_count, dlq
 def quality_pipe(st: Stages):
     from curvewright.operators.quality import quality_history
 
-    named = quality_history(st.outcomes, st.gold).where("provider <> ''")
+    named = quality_history(st.kept.outcomes, st.kept.gold).where("provider <> ''")
     return landing.quality_pipe(_documents(named)).select(
         "provider",
         "measurement_window",
@@ -486,7 +486,7 @@ ORDER BY dlq_timestamp, seq LIMIT 40
 @query("replay_dlq", _DLQ_REPLAY)
 def replay_dlq(st: Stages):
     return replay.replay_dlq(
-        st.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now(), limit=40
+        st.kept.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now(), limit=40
     ).select("arrival_seq", "event_id", "provider", "instrument", "replay_source")
 
 
@@ -524,7 +524,7 @@ SELECT is_replay, count(*) AS events FROM (
 GROUP BY is_replay
 """)
 def replay_merge(st: Stages):
-    replayed = replay.replay_dlq(st.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now())
+    replayed = replay.replay_dlq(st.kept.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now())
     return replay.merge_replay(st.raw, replayed).groupBy("is_replay").agg(
         F.count(F.lit(1)).alias("events")
     )

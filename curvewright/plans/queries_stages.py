@@ -137,7 +137,7 @@ FROM (
   FROM w_passed GROUP BY provider)
 """)
 def score_rolling(st: Stages):
-    rolled = validate.rolling_scores(validate.scored_events(st.outcomes))
+    rolled = validate.rolling_scores(validate.scored_events(st.kept.outcomes))
     # Halved sums often end in an exact 5; the nudge rounds them alike everywhere.
     return validate.rolling_state(rolled).select(
         "provider",
@@ -479,7 +479,7 @@ LEFT JOIN (
 USING (provider, measurement_window, window_start)
 """)
 def quality_history(st: Stages):
-    return quality.quality_history(st.outcomes, st.gold).select(
+    return quality.quality_history(st.kept.outcomes, st.kept.gold).select(
         "provider",
         "measurement_window",
         "window_start",

@@ -69,7 +69,7 @@ FROM (
     GROUP BY 1, 2))
 """)
 def view_quality_summary(st: Stages):
-    return views.quality_summary(quality.quality_history(st.outcomes, st.gold), st.as_of)
+    return views.quality_summary(quality.quality_history(st.kept.outcomes, st.kept.gold), st.as_of)
 
 
 @query("view_dlq_summary", """
@@ -164,7 +164,7 @@ UNION ALL SELECT 'recent', dlq_event_id, epoch_us(dlq_timestamp) FROM (
   SELECT * FROM w_dlq ORDER BY dlq_timestamp DESC, dlq_event_id LIMIT 20)
 """)
 def q_dlq_stats(st: Stages):
-    return views.dlq_stats(st.dlq_table)
+    return views.dlq_stats(st.kept.dlq_table)
 
 
 @query("q_dlq_list", """
@@ -174,7 +174,7 @@ SELECT dlq_event_id, dlq_timestamp, total, least(total, 20) AS returned FROM (
 ORDER BY dlq_timestamp DESC, dlq_event_id LIMIT 20
 """)
 def q_dlq_list(st: Stages):
-    return views.dlq_list(st.dlq_table, 20, "provider-a", "stale", False).select(
+    return views.dlq_list(st.kept.dlq_table, 20, "provider-a", "stale", False).select(
         "dlq_event_id", "dlq_timestamp", "total", "returned"
     )
 

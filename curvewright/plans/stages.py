@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from curvewright.operators import alerts, gold, normalise, validate
 from curvewright.plans.inputs import query_clock, raw_market_events
-from curvewright.session import configure
+from curvewright.session import configure, fresh_path
 from curvewright.sources.tables import silver_rows
+from curvewright.sources.upserts import staged
 
 DAY = 86_400
 
@@ -22,6 +23,7 @@ class Stages:
 
     spark: SparkSession
     sf_dir: str
+    outcomes_path: str | None = None
 
     def __post_init__(self) -> None:
         configure(self.spark)
@@ -36,8 +38,24 @@ class Stages:
 
     @cached_property
     def outcomes(self) -> DataFrame:
+        if self.outcomes_path:
+            return self.spark.read.parquet(self.outcomes_path)
         return validate.validate(self.raw)
 
+    @cached_property
+    def kept(self) -> Stages:
+        """The same stages over a written outcome table.
+
+        For results that need outcomes more than once: writing them once to the
+        shared folder is cheaper than validating twice, and a lost executor
+        repeats only what follows.
+        """
+        if self.outcomes_path:
+            return self
+        path = fresh_path(self.spark, "outcomes")
+        self.outcomes.write.parquet(path)
+        return Stages(self.spark, self.sf_dir, path)
+
     @cached_property
     def validated(self) -> DataFrame:
         return validate.validated_events(self.outcomes)
@@ -52,7 +70,9 @@ class Stages:
 
     @cached_property
     def curves(self) -> DataFrame:
-        return normalise.normalise(self.validated)
+        """Versioned curve events; numbering reads its input twice, so it is written first."""
+        rows = staged(self.curves_unversioned, fresh_path(self.spark, "curve-rows"))
+        return normalise.with_versions(rows)
 
     @cached_property
     def curves_unversioned(self) -> DataFrame:
@@ -145,6 +165,8 @@ class Stages:
     @cached_property
     def alerts(self) -> DataFrame:
         """Alerts of four rules over the derived feed, in the common form."""
+        if not self.outcomes_path:
+            return self.kept.alerts
         hour = 3600
         spike = alerts.held(
             alerts.dlq_rate_evaluations(self.dead_letters, 6 * hour, hour, 0.004),

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curvewright.operators.ordering import first_n
+from curvewright.operators.ordering import first_n, running_position
 from curvewright.operators.validate import RAW_FIELDS
 from curvewright.sources import vendor
 from curvewright.sources.bronze import arrival_range, in_hours, reinflate
@@ -158,6 +158,21 @@ def merge_replay(live: DataFrame, replayed: DataFrame) -> DataFrame:
     return live.select(*columns).unionByName(replayed.select(*columns))
 
 
+def paced(events: DataFrame, start: Column, per_second: int = 1000) -> DataFrame:
+    """When each replayed event may be released, at most ``per_second`` a second.
+
+    A stream limits admission at its source instead (``per_trigger`` of the
+    topic reader); a batch hands this schedule on with its rows.
+    """
+    if per_second < 1:
+        raise ValueError("per_second must be positive")
+    placed = running_position(events.withColumn("_all", F.lit(1)), ["_all"], "_position")
+    wait = F.floor((F.col("_position") - 1) / F.lit(per_second))
+    return placed.withColumn(
+        "release_at", F.timestamp_micros(F.unix_micros(start) + wait * 1_000_000)
+    ).drop("_all", "_position")
+
+
 def list_jobs(pending: DataFrame, recent: DataFrame, limit: int = 50) -> DataFrame:
     """Known jobs once each, newest first."""
     return (

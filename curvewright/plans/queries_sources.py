@@ -530,6 +530,16 @@ def replay_merge(st: Stages):
     )
 
 
+@query("replay_throttle", """
+SELECT seq AS arrival_seq, TIMESTAMP '2024-02-01 00:00:00' + to_seconds((row_number() OVER (
+  ORDER BY received_at, seq) - 1) // 10) AS release_at
+FROM w_raw WHERE provider = 'provider-a'
+""")
+def replay_throttle(st: Stages):
+    replayed = st.raw.where("provider = 'provider-a'")
+    return replay.paced(replayed, _now(), 10).select("arrival_seq", "release_at")
+
+
 @query("replay_jobs", """
 SELECT job_id, source, status, requested_at FROM w_job ORDER BY requested_at DESC, job_id LIMIT 50
 """)

@@ -10,10 +10,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from curvewright.functions.payload import JSON_TEXT
+from curvewright.schemas import RAW_EVENT
 
 PARTITIONS = ("provider", "dt", "hh")
 ROWS_PER_FILE = 5_000_000
 
+# Raw events with nested columns as text, plus the arrival day and hour.
+BRONZE_ROW = T.StructType(
+    [
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.ArrayType) else f.dataType)
+        for f in RAW_EVENT.fields
+    ]
+    + [T.StructField("dt", T.StringType()), T.StructField("hh", T.StringType())]
+)
+
 
 def sanitise(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text, so that mixed-type batches share one schema."""
@@ -87,9 +97,8 @@ def stream_bronze(
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    # Partition values stay text: hour "07" must not become the number 7.
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.parquet(root)
+    """Stored rows; partition values stay text, hour "07" is not the number 7."""
+    return spark.read.schema(BRONZE_ROW).parquet(root)
 
 
 def in_hours(bronze: DataFrame, start: datetime, end: datetime) -> DataFrame:

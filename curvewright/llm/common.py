@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curvewright.session import shared_dir
 
@@ -49,11 +52,6 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` plus ``columns``; a column of the same name is replaced."""
-    return df.withColumns(columns)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b long): (node, component).
 
@@ -92,3 +90,31 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = now
+
+
+def text_map(
+    df: DataFrame, text: str, keep: list[str], added: str, work: Callable[[pa.Array], list[pa.Array]]
+) -> DataFrame:
+    """Columns ``keep`` of ``df`` plus what ``work`` makes of each Arrow batch of texts.
+
+    ``added`` is the schema of the new columns. Rows stay where they are; the
+    memory of a task is that of one batch.
+    """
+    schema = T.StructType([df.schema[c] for c in keep] + T.StructType.fromDDL(added).fields)
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            made = work(batch.column(len(keep)))
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + made, names=names)
+
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text")).mapInArrow(run, schema)
+
+
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column and its row offsets; null is empty."""
+    column = column.cast(pa.large_string()).fill_null("")
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    chars = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return chars[ends[0] : ends[-1]], ends - ends[0]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curvewright.session import shared_dir
+from curvewright.session import fresh_path, shared_dir
 
 #: Bytes that separate words in the whitespace sense: x20 and x09 to x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -118,3 +118,14 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     chars = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return chars[ends[0] : ends[-1]], ends - ends[0]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back.
+
+    Unlike a checkpoint the table has its true size, so the engine broadcasts
+    it only if it really is below the session's threshold.
+    """
+    path = fresh_path(df.sparkSession, f"llm-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curvewright.llm import decontaminate, mixing, sharding, simhash  # noqa: F401
+from curvewright.llm import decontaminate, mixing, quality, sharding, simhash  # noqa: F401
 from curvewright.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -102,13 +102,17 @@ def text_map(
     """
     schema = T.StructType([df.schema[c] for c in keep] + T.StructType.fromDDL(added).fields)
     names = schema.names
+    sent = [F.col(f"`{c}`") for c in keep]
+    at = keep.index(text) if text in keep else len(keep)
+    if text not in keep:
+        sent.append(F.col(text).alias("__text"))
 
     def run(batches):
         for batch in batches:
-            made = work(batch.column(len(keep)))
+            made = work(batch.column(at))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + made, names=names)
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text")).mapInArrow(run, schema)
+    return df.select(*sent).mapInArrow(run, schema)
 
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

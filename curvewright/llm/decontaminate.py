@@ -160,8 +160,8 @@ def _windows(texts: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(key, n_hit, n_items, items_sha256) of the texts of ``docs`` that hold a window.
+def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, span, start, window): where the texts of ``docs`` hold one of ``windows``.
 
     ``docs`` has ``text``; ``key`` is ``text_key``. The k-grams kept of both
     sides are joined by hash; a join row is a place in a text, never a pair with
@@ -170,11 +170,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     joined to the items' windows word for word. Copies of a text are verified
     once. Whether the items' side is broadcast is left to its measured size.
     """
-    windows = stored(_windows(benchmark, ["item_id"]).distinct(), "bench-windows")
     spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # at most SPAN values
-    schema = "key string, n_hit long, n_items long, items_sha256 string"
     if not spans:
-        return docs.sparkSession.createDataFrame([], schema)
+        return docs.sparkSession.createDataFrame([], "key string, span int, start int, window string")
     known = fingerprints(windows.select("span", F.col("window").alias("text")), [], spans).select("span", "gram")
     known = stored(known.distinct(), "bench-grams")
     keyed = docs.select(text_key().alias("key"), "text")
@@ -199,11 +197,23 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("key", "span", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("span")), " ").alias("window"))
         .distinct()
     )
-    found = stored(at.join(windows.select("span", "window").distinct(), ["span", "window"]), "hits")
+    found = at.join(windows.select("span", "window").distinct(), ["span", "window"])
+    return stored(found.select("key", "span", "start", "window"), "hits")
+
+
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """(item_id, span, window): the windows of every item, written once."""
+    return stored(_windows(benchmark, ["item_id"]).distinct(), "bench-windows")
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(key, n_hit, n_items, items_sha256) of the texts of ``docs`` that hold a window."""
+    windows = item_windows(benchmark)
+    found = hits(docs, windows)
     order = Window.partitionBy("key").orderBy("start", "span").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("span")
     covered = F.greatest(F.lit(0), end - F.greatest(F.col("start"), F.coalesce(F.max(end).over(order), F.lit(0))))
-    hits = found.withColumn("new", covered).groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
+    marked = found.withColumn("new", covered).groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
     items = (
         found.select("key", "span", "window").distinct()
         .join(windows, ["span", "window"])
@@ -215,7 +225,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         )
     )
-    return hits.join(items, "key")
+    return marked.join(items, "key")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -266,6 +276,12 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN n USING (r)
 """
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, all columns kept."""
+    found = stored(hits(docs.select("text"), item_windows(benchmark)).select("key").distinct(), "contaminated")
+    return docs.join(found, text_key() == found["key"], "left_anti")
+
+
 @query("op7_decontaminate", ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import WORD, checkpointed, query, table
+from curvewright.llm.common import WORD, checkpointed, query, stored, table
 
 #: Weights of the sources in code-point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
@@ -118,6 +118,33 @@ def taken(docs: DataFrame) -> DataFrame:
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix itself in whole documents: each row of ``docs`` as often as it is taken.
+
+    The document at a source's cut is taken if at least half of it fits. Every
+    row compares its own key with its source's cut, one row per source, so
+    texts do not move.
+    """
+    rows = taken(docs)
+    whole = F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(0)
+    part = F.col("taken") - whole * F.col("size")
+    cuts = rows.groupBy("__source").agg(
+        F.max(whole).alias("__epochs"),
+        F.max(F.when((F.col("size") > 0) & (2 * part >= F.col("size")), F.col("__key"))).alias("__cut"),
+    )
+    cuts = stored(cuts, "cuts")
+    copies = F.col("__epochs") + F.coalesce(
+        (random_key(F.col("doc_id"), F.col("text")) <= F.col("__cut")).cast("long"), F.lit(0)
+    )
+    return (
+        docs.join(cuts, docs["source"].eqNullSafe(cuts["__source"]))
+        .withColumn("__copies", copies)
+        .where("__copies > 0")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+        .select(*docs.columns)
+    )
+
+
 ORACLE = f"""
 WITH r AS (
   SELECT doc_id, source,

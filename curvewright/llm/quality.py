@@ -197,6 +197,13 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     )
 
 
+def good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, all columns kept."""
+    kept = docs.withColumnRenamed("score", "__score")  # if there is one
+    passed = scored(kept, train(docs, labels, sample), kept.columns).where("score >= 0.5").drop("score")
+    return passed.withColumnRenamed("__score", "score").select(*docs.columns)
+
+
 @query("op5_quality")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored for quality."""

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import checkpointed, query, table
+from curvewright.llm.common import checkpointed, query, stored, table
 
 _LOWEST = -(2**63)
 _KEY, _TIE, _SIZE = "__shard_key", "__shard_tie", "__shard_size"
@@ -147,11 +147,12 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.001) -> DataFr
 
 def _slotted(rows: DataFrame, splitters: list[tuple[int, int]], columns: list[str]) -> DataFrame:
     order = ("shard", _KEY, _TIE)
-    ranged = checkpointed(
+    ranged = stored(
         rows.withColumn("shard", shard_of(splitters))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
+        .withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}),
+        "ranged",
     )
     parts = ranged.groupBy("shard", "__part").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first")

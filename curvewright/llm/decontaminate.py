@@ -13,6 +13,8 @@ from curvewright.llm.common import ascii_lower, query, raw_bytes, stored, table,
 SPAN = 10
 #: Bytes of text whose words are found at once.
 _STEP = 1 << 20
+#: Most fingerprints of items that are looked up in one pass over the texts.
+SLICE = 1 << 20
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -93,40 +95,73 @@ def _pieces(ends: np.ndarray):
         at = to
 
 
-def fingerprints(texts: DataFrame, keep: list[str], spans: list[int]) -> DataFrame:
-    """Columns ``keep`` plus (span, pos, gram) of every fingerprint of ``text``, one row each."""
+def _kept(column: pa.Array, spans: list[int]):
+    """For each run of rows of a batch: its words and the k-grams kept for each span."""
+    chars, ends = raw_bytes(column)
+    for at, to in _pieces(ends):
+        own = chars[ends[at] : ends[to]]
+        starts, stops, firsts = word_spans(own, ends[at : to + 1] - ends[at])
+        hashes = word_hashes(own, starts, stops)
+        yield at, own, starts, stops, firsts, [(span, *winnow(hashes, firsts, span)) for span in spans]
 
-    def work(column: pa.Array) -> list[pa.Array]:
-        chars, ends = raw_bytes(column)
-        counts, parts = np.zeros(len(column), np.int64), []
-        for at, to in _pieces(ends):
-            own, inner = chars[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
-            starts, stops, firsts = word_spans(own, inner)
-            hashes = word_hashes(own, starts, stops)
-            rows, kinds, places, grams = [], [], [], []
-            for span in spans:
-                kept, gram = winnow(hashes, firsts, span)
-                row = np.searchsorted(firsts, kept, side="right") - 1
-                rows.append(row), kinds.append(np.full(len(row), span)), grams.append(gram)
-                places.append(kept - firsts[row])
-            row = np.concatenate(rows)
-            order = np.argsort(row, kind="stable")
-            counts[at:to] = np.bincount(row, minlength=to - at)
-            parts.append([np.concatenate(x)[order] for x in (kinds, places, grams)])
-        kinds, places, grams = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([], [], [])
-        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
-        made = pa.StructArray.from_arrays(
-            [
-                pa.array(np.asarray(kinds, np.int32)),
-                pa.array(np.asarray(places, np.int32)),
-                pa.array(np.asarray(grams, np.uint64).view(np.int64)),
-            ],
-            names=["span", "pos", "gram"],
-        )
-        return [pa.ListArray.from_arrays(offsets, made)]
 
-    mapped = text_map(texts, "text", keep, "f array<struct<span:int,pos:int,gram:bigint>>", work)
-    return mapped.select(*keep, F.inline("f"))
+def fingerprints(texts: DataFrame, spans: list[int]) -> DataFrame:
+    """(span, gram): the distinct fingerprints of ``text``."""
+
+    def run(batches):
+        for batch in batches:
+            for *_, kept in _kept(batch.column(0), spans):
+                for span, _, grams in kept:
+                    own = np.unique(grams.view(np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), span, np.int32)), pa.array(own)], names=["span", "gram"]
+                    )
+
+    return texts.select("text").mapInArrow(run, "span int, gram long").distinct()
+
+
+def candidates(texts: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
+    """(key, span, start, window): the windows of ``text`` that cover a known fingerprint.
+
+    ``texts`` has key and text; ``known`` the sorted fingerprints of each span.
+    """
+    lookup = texts.sparkSession.sparkContext.broadcast(known)
+    names = ["key", "span", "start", "window"]
+
+    def run(batches):
+        known = lookup.value
+        for batch in batches:
+            rows, kinds, places, windows = [], [], [], []
+            for at, own, starts, stops, firsts, kept in _kept(batch.column(1), list(known)):
+                for span, position, grams in kept:
+                    there = np.searchsorted(known[span], grams)
+                    hit = known[span][np.minimum(there, len(known[span]) - 1)] == grams
+                    back = np.arange(span - (span + 1) // 2 + 1)
+                    first = np.unique(position[hit][:, None] - back)
+                    first = first[first >= 0]
+                    row = np.searchsorted(firsts, first, side="right") - 1
+                    whole = first + span <= firsts[row + 1]
+                    first, row = first[whole], row[whole]
+                    rows += (row + at).tolist()
+                    kinds += [span] * len(row)
+                    places += (first - firsts[row]).tolist()
+                    windows += [
+                        b" ".join(own[a:b].tobytes() for a, b in zip(starts[f : f + span], stops[f : f + span], strict=True))
+                        .lower().decode()
+                        for f in first.tolist()
+                    ]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(rows)),
+                        pa.array(kinds, pa.int32()),
+                        pa.array(places, pa.int32()),
+                        pa.array(windows, pa.string()),
+                    ],
+                    names=names,
+                )
+
+    return texts.select("key", "text").mapInArrow(run, "key string, span int, start int, window string").distinct()
 
 
 def word_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -160,45 +195,35 @@ def _windows(texts: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def hits(docs: DataFrame, windows: DataFrame, slice_size: int = SLICE) -> DataFrame:
     """(key, span, start, window): where the texts of ``docs`` hold one of ``windows``.
 
     ``docs`` has ``text``; ``key`` is ``text_key``. The k-grams kept of both
-    sides are joined by hash; a join row is a place in a text, never a pair with
-    an item, so a passage that many items or documents share stays linear. The
-    places found are extended to every window that covers them, and these are
-    joined to the items' windows word for word. Copies of a text are verified
-    once. Whether the items' side is broadcast is left to its measured size.
+    sides meet by hash: those of the items in slices of at most ``slice_size``,
+    each sent to every task and looked up in one pass over the texts, so what is
+    broadcast is bounded however large the benchmark is, and texts never move.
+    A k-gram found is extended to every window that covers it, and these are
+    joined to the items' windows word for word. A row is a place in a text,
+    never a pair with an item, so a passage that many items or documents share
+    stays linear; copies of a text are one.
     """
     spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # at most SPAN values
+    spark = docs.sparkSession
+    shape = "key string, span int, start int, window string"
     if not spans:
-        return docs.sparkSession.createDataFrame([], "key string, span int, start int, window string")
-    known = fingerprints(windows.select("span", F.col("window").alias("text")), [], spans).select("span", "gram")
-    known = stored(known.distinct(), "bench-grams")
+        return spark.createDataFrame([], shape)
+    grams = stored(fingerprints(windows.select(F.col("window").alias("text")), spans), "bench-grams")
+    slices = -(-grams.count() // slice_size)
     keyed = docs.select(text_key().alias("key"), "text")
-    places = (
-        fingerprints(keyed, ["key"], spans)
-        .join(known, ["span", "gram"], "left_semi")
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("span", "pos")).alias("places"))
-    )
-    places = stored(places, "places")  # at most one entry per word of a text
-    texts = keyed.join(places, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("places").alias("places"))
-    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(_WORDS), F.lit(0))
-    at = (
-        texts.select("key", words.alias("w"), F.explode("places").alias("p"))
-        .select("key", "w", F.col("p.span").alias("span"), F.col("p.pos").alias("pos"))
-        # Every window of the span's length that holds the kept k-gram.
-        .withColumn(
-            "start",
-            F.explode(F.sequence(F.greatest(F.lit(0), F.expr("pos + (span + 1) div 2 - span").cast("int")), F.col("pos"))),
-        )
-        .where(F.col("start") + F.col("span") <= F.size("w"))
-        .select("key", "span", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("span")), " ").alias("window"))
-        .distinct()
-    )
-    found = at.join(windows.select("span", "window").distinct(), ["span", "window"])
-    return stored(found.select("key", "span", "start", "window"), "hits")
+    found = spark.createDataFrame([], shape)
+    for part in range(slices):
+        known: dict[int, list[int]] = {}
+        for row in grams.where(F.pmod(F.xxhash64("gram"), F.lit(slices)) == part).toLocalIterator():
+            known.setdefault(row["span"], []).append(row["gram"])
+        places = candidates(keyed, {s: np.sort(np.array(v).view(np.uint64)) for s, v in known.items()})
+        exact = places.join(windows.select("span", "window").distinct(), ["span", "window"], "left_semi")
+        found = found.unionByName(exact)
+    return stored(found.distinct() if slices > 1 else found, "hits")
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -225,7 +250,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         )
     )
-    return marked.join(items, "key")
+    return stored(marked.join(items, "key"), "contaminated")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

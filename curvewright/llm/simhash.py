@@ -180,10 +180,14 @@ def group_labels(printed: DataFrame, radius: int = RADIUS) -> DataFrame:
     joined = components(links(prints, radius)).withColumnRenamed("node", "fp")
     lowest = joined.join(prints, "fp").groupBy("component").agg(F.min("least").alias("lowest"))
     named = joined.join(lowest, "component").select("fp", "lowest", "component")
-    return prints.join(named, "fp", "left").select(
-        "fp",
-        F.coalesce("lowest", "least").alias("component_id"),
-        F.coalesce("component", "fp").alias("component"),
+    # Written, so that the join with a common fingerprint's rows can be split.
+    return stored(
+        prints.join(named, "fp", "left").select(
+            "fp",
+            F.coalesce("lowest", "least").alias("component_id"),
+            F.coalesce("component", "fp").alias("component"),
+        ),
+        "components",
     )
 
 

@@ -23,8 +23,8 @@ SPAM = (
     "ads", "adult", "bet", "bets", "betting", "casino", "loans", "payday", "pills", "poker", "porn", "slots", "spam",
     "viagra", "xxx",
 )
-#: Blocked URLs that each of these words counts for besides those seen.
-SPAM_PRIOR = 20
+#: What each of these words adds to a host's log odds besides what is learned.
+SPAM_PRIOR = 6.0
 #: Longest word of a segmentation, in letters.
 LONGEST = 20
 _URLS = ("__host", "__path")
@@ -125,7 +125,7 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
 
     A rule decides where one fits. Elsewhere a multinomial naive Bayes scores
     the words of the host's names and of the path; it learns from what the rules
-    decide, from hosts with a word of ``SPAM`` (and the words themselves) as blocked, and from all other
+    decide, from hosts with a word of ``SPAM`` as blocked, and from all other
     URLs as allowed, which most of them are. Score above zero blocks, zero
     (also: nothing to learn from) allows. Null and odd URLs have an
     empty host and path and are scored by the priors; repeated rows are all
@@ -166,8 +166,6 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     )
     block = F.col("label") == "block"
     learned = tokens.select(block.cast("long").alias("b"), F.explode("tokens").alias("token"))
-    told = tokens.sparkSession.createDataFrame([("h:" + w,) for w in SPAM], "token string")
-    learned = learned.unionByName(told.select(F.explode(F.array_repeat(F.lit(1).cast("long"), SPAM_PRIOR)).alias("b"), "token"))
     counts = stored(
         learned.groupBy("token").agg(F.sum("b").alias("b"), F.sum(1 - F.col("b")).alias("a")), "token-counts"
     )
@@ -176,7 +174,8 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     model = stored(
         counts.select(
             "token",
-            (F.log((F.col("b") + 1) / F.lit(float(b + v + 1))) - F.log((F.col("a") + 1) / F.lit(float(a + v + 1)))).alias("w"),
+            (F.log((F.col("b") + 1) / F.lit(float(b + v + 1))) - F.log((F.col("a") + 1) / F.lit(float(a + v + 1)))
+             + F.when(F.col("token").isin(*["h:" + w for w in SPAM]), SPAM_PRIOR).otherwise(0.0)).alias("w"),
         ),
         "token-weights",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curvewright.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, urls  # noqa: F401
+from curvewright.llm import decontaminate, mixing, neighbours, quality, secret_scan, sharding, simhash, urls  # noqa: F401
 from curvewright.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

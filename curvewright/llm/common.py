@@ -66,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     links = checkpointed(links.distinct())
     if links.isEmpty():
-        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return links.toDF("node", "component")
     before = None
     while True:
         # Large star: hang every larger neighbour of a node on its smallest one.
@@ -88,7 +88,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
         ).first()
         if now == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            roots = links.select("b").distinct().select("b", F.col("b").alias("component"))
+            return links.union(roots).toDF("node", "component")
         before = now
 
 

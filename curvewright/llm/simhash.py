@@ -78,7 +78,8 @@ def _links(left: np.ndarray, right: np.ndarray, same: bool, radius: int) -> tupl
     step = max(1, (1 << 21) // len(right))
     a, b = [], []
     for s in range(0, len(left), step):
-        near = np.bitwise_count(left[s : s + step, None] ^ right[None, :]) <= radius
+        # As unsigned numbers: the bit count of a negative one is that of its absolute value.
+        near = np.bitwise_count((left[s : s + step, None] ^ right[None, :]).view(np.uint64)) <= radius
         i, j = np.nonzero(near)
         if same:
             i, j = i[i + s < j], j[i + s < j]
@@ -205,27 +206,6 @@ def near_copies(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row left of each SimHash component: that of the smallest doc_id.
-
-    All columns are kept. A row is known by 128 bits of hash over its columns,
-    so rows that are equal in all of them count as one and rows that share a
-    doc_id do not. A null doc_id stays only where its component has no other.
-    """
-    cells = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map" not in f.dataType.simpleString()]
-    marked = docs.withColumns({"__h1": F.xxhash64(*cells), "__h2": F.xxhash64(F.lit(1), *cells)})
-    printed = checkpointed(fingerprints(marked, ["doc_id", "__h1", "__h2"], k=k))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__h1", "__h2")
-    first = (
-        printed.join(group_labels(printed, radius), "fp")
-        .groupBy("component")
-        .agg(F.min(order).alias("r"))
-        .select("r.__h1", "r.__h2")
-    )
-    kept = marked.join(stored(first, "first-of-group"), ["__h1", "__h2"], "left_semi")
-    return kept.dropDuplicates(["__h1", "__h2"]).select(*docs.columns)
-
-
 @query("op6_simhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their SimHash component."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curvewright.llm import decontaminate, mixing, quality, sharding, simhash
+from curvewright.llm import decontaminate, mixing, quality, sharding, simhash_groups
 from curvewright.llm.common import stored, table
 
 
@@ -20,9 +20,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (operator 6): the smallest doc_id.
 
-    Five-word shingles; fingerprints link at 3 or fewer differing bits.
+    Tiled comparison of wide fingerprints finds candidates; sets of five-word
+    shingles link at a similarity of 0.8 or more.
     """
-    return simhash.one_of_each(docs, k=5)
+    return simhash_groups.one_of_each(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

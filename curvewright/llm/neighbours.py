@@ -11,13 +11,15 @@ from curvewright.llm.common import checkpointed, query, table
 
 #: Neighbours of each node; most members of one comparison in a task.
 DEGREE, BLOCK = 30, 256
+#: Better neighbours that a member gets from one comparison.
+OFFERS = 12
 #: Nodes whose surroundings one task of a round compares.
-BUCKET = 2048
+BUCKET = 256
 #: Random splits that give the first graph; rounds of descent at most, and the share
 #: of changed edges at which it ends.
-SPLITS, ROUNDS, SETTLED = 3, 8, 0.02
+SPLITS, ROUNDS, SETTLED = 3, 8, 0.05
 #: Nodes a search keeps, nodes it expands in a step, and steps at most.
-BEAM, STEP, STEPS = 64, 16, 12
+BEAM, STEP, STEPS = 160, 32, 12
 
 
 def _stack(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
@@ -162,7 +164,7 @@ def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: in
             sims = x[m] @ x[m].T
             sims[~(fresh[a:b, None] | fresh[None, a:b]) | (sims <= worst[m, None])] = -np.inf
             np.fill_diagonal(sims, -np.inf)
-            i, j = _best(sims, degree)
+            i, j = _best(sims, OFFERS)
             u.append(ids[m[i]]), v.append(ids[m[j]]), s.append(sims[i, j])
         return _edges(u, v, s)
 

@@ -34,6 +34,11 @@ def _units(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two, which changes no bit, so that no square overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) if len(x) else x
+
+
 def prepared(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, node, vec double array): the rows that take part; equal vectors share a node.
 
@@ -282,7 +287,7 @@ def nearest(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:
 
     def score(batches):
         for batch in batches:
-            a, b = (_stack(pa.chunked_array([batch.column(i)]), np.float64) for i in (2, 3))
+            a, b = (_scaled(_stack(pa.chunked_array([batch.column(i)]), np.float64)) for i in (2, 3))
             s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], names=["q", "v", "score"])
 

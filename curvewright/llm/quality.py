@@ -173,10 +173,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     return fit(x, np.array([r["quality"] for r in measured], float))
 
 
-def scored(docs: DataFrame, model: Trees, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of ``docs`` plus ``score``, from the whole text alone."""
+def scored(docs: DataFrame, model: Trees, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """Columns ``keep`` of ``docs`` plus the score, from the whole text alone."""
     return text_map(
-        docs, text, keep, "score double",
+        docs, text, keep, f"{name} double",
         lambda c: [pa.array(model.scores(matrix(c.to_pylist())), pa.float64())],
     )
 
@@ -199,9 +199,8 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 def good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns kept."""
-    kept = docs.withColumnRenamed("score", "__score")  # if there is one
-    passed = scored(kept, train(docs, labels, sample), kept.columns).where("score >= 0.5").drop("score")
-    return passed.withColumnRenamed("__score", "score").select(*docs.columns)
+    marked = scored(docs, train(docs, labels, sample), docs.columns, name="__llm_score")
+    return marked.where("__llm_score >= 0.5").select(*docs.columns)
 
 
 @query("op5_quality")

@@ -161,7 +161,7 @@ def candidates(texts: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
                     names=names,
                 )
 
-    return texts.select("key", "text").mapInArrow(run, "key string, span int, start int, window string").distinct()
+    return texts.select("key", "text").mapInArrow(run, "key binary, span int, start int, window string").distinct()
 
 
 def word_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -176,8 +176,8 @@ def word_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def text_key(text: str = "text"):
-    """What names a text: equal texts, and only those, share it."""
-    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    """What names a text in 16 bytes: equal texts share it, others do not but for an MD5 collision."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -209,7 +209,7 @@ def hits(docs: DataFrame, windows: DataFrame, slice_size: int = SLICE) -> DataFr
     """
     spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # at most SPAN values
     spark = docs.sparkSession
-    shape = "key string, span int, start int, window string"
+    shape = "key binary, span int, start int, window string"
     if not spans:
         return spark.createDataFrame([], shape)
     grams = stored(fingerprints(windows.select(F.col("window").alias("text")), spans), "bench-grams")

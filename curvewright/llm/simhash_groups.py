@@ -231,7 +231,9 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     )
     groups = components(candidate_links(sets))
     source = stored(groups.join(sets, groups["node"] == sets["id"]).select("id", "r.__h1", "r.__h2"), "tried")
-    texts = marked.select("__h1", "__h2", "text").join(source, ["__h1", "__h2"]).dropDuplicates(["__h1", "__h2"])
+    # The same plan at every size: texts meet the list by a sorted exchange.
+    texts = marked.select("__h1", "__h2", "text").join(source.hint("merge"), ["__h1", "__h2"])
+    texts = texts.dropDuplicates(["__h1", "__h2"])
     same = components(similar_links(texts.select("id", "text"), stored(groups, "groups"), k))
     first = (
         sets.join(same, sets["id"] == same["node"], "left")

@@ -36,13 +36,17 @@ def low_quality(outcomes: DataFrame, window_seconds: int = 300, limit: float = 0
 
 
 def provider_outage(
-    events: DataFrame, silence_seconds: int = 120, hold_seconds: int = 120
+    events: DataFrame, as_of: Column, silence_seconds: int = 120, hold_seconds: int = 120
 ) -> DataFrame:
-    """Silences long enough to fire, with when the alert starts and ends."""
+    """Silences long enough to fire, with when the alert starts and ends.
+
+    A provider silent until ``as_of`` is still out: ``ends_at`` is NULL.
+    """
     quiet = next_arrival(events, ["provider"], "received_at", "resumed_at")
     return (
         quiet.withColumn(
-            "gap_seconds", seconds_between(F.col("resumed_at"), F.col("received_at"))
+            "gap_seconds",
+            seconds_between(F.coalesce(F.col("resumed_at"), as_of), F.col("received_at")),
         )
         .where(F.col("gap_seconds") > silence_seconds + hold_seconds)
         .select(
@@ -205,9 +209,8 @@ def inhibited(alerts: DataFrame, slot_seconds: int = 3600) -> DataFrame:
     name, whose times overlap. Intervals are cut into time slots so that the
     overlap test is an equality on (value, slot) first.
     """
-    warnings = alerts.where("severity = 'warning'").withColumn(
-        "_id", F.xxhash64("alertname", "component", "provider", "starts_at", "ends_at")
-    )
+    identity = ["alertname", "component", "provider", "starts_at", "ends_at"]
+    warnings = alerts.where("severity = 'warning'")
     critical = alerts.where("severity = 'critical'")
 
     def slots(df: DataFrame) -> DataFrame:
@@ -219,7 +222,7 @@ def inhibited(alerts: DataFrame, slot_seconds: int = 3600) -> DataFrame:
     suppressed = None
     for column in ("component", "alertname"):
         source = slots(covered_times(critical.select(column, "starts_at", "ends_at"), [column]))
-        target = slots(warnings.select("_id", column, "starts_at", "ends_at"))
+        target = slots(warnings.select(*identity))
         hit = target.alias("w").join(
             source.alias("c"),
             (F.col(f"w.{column}") == F.col(f"c.{column}"))
@@ -227,9 +230,13 @@ def inhibited(alerts: DataFrame, slot_seconds: int = 3600) -> DataFrame:
             & (F.col("w.starts_at") <= F.col("c.ends_at"))
             & (F.col("c.starts_at") <= F.col("w.ends_at")),
             "left_semi",
-        ).select("_id")
+        ).select(*identity)
         suppressed = hit if suppressed is None else suppressed.unionByName(hit)
-    kept = warnings.join(suppressed, "_id", "left_anti").drop("_id")
+    same = None
+    for column in identity:
+        equal = F.col(f"w.{column}").eqNullSafe(F.col(f"s.{column}"))
+        same = equal if same is None else same & equal
+    kept = warnings.alias("w").join(suppressed.alias("s"), same, "left_anti")
     return kept.unionByName(critical)
 
 

@@ -4,6 +4,10 @@ The first arrival of an id is accepted and anchors its time to live; arrivals
 inside it are repeats and do not extend it; the first arrival after it anchors
 a new one. Time is measured in whole milliseconds.
 
+Most ids arrive once, so the ids that arrive more often are counted out first
+and only their arrivals take part in what follows; the result is the short list
+of repeats, which is joined back, not the long one of accepted rows.
+
 An id may be repeated without limit, so ids are never gathered whole:
 
 1. arrivals are combined, before any shuffle, into one row per (id,
@@ -26,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvewright.session import fresh_path
+
 KEY = ["event_id", "received_at", "arrival_seq"]
 
 
@@ -77,7 +83,7 @@ def accepted_arrivals(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
     ttl_ms = ttl_seconds * 1000
     cell_ms = ttl_ms // 60
 
-    # One row per id and millisecond; both branches below read this exchange.
+    # One row per id and millisecond.
     at_ms = F.unix_millis("received_at")
     arrivals = (
         events.select(
@@ -86,7 +92,6 @@ def accepted_arrivals(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
             (at_ms - F.pmod(at_ms, F.lit(cell_ms))).alias("_cell"),
             F.struct("received_at", "arrival_seq").alias("_arrival"),
         )
-        # The join below implies these; spelled out, both branches stay identical.
         .where("event_id IS NOT NULL AND _cell IS NOT NULL")
         .groupBy("event_id", "_cell", "_at_ms")
         .agg(F.min("_arrival").alias("_first"))
@@ -136,13 +141,60 @@ def accepted_arrivals(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
     return openers.unionByName(residue)
 
 
-def flag_repeats(events: DataFrame, eligible: Column, ttl_seconds: int = 3600) -> DataFrame:
-    """Add ``is_repeat``; rows where ``eligible`` is false take no part."""
-    accepted = accepted_arrivals(events.where(eligible), ttl_seconds).withColumn(
-        "accepted", F.lit(True)
+def repeats(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
+    """Positions that hold a repeat: (event_id, received_at, arrival_seq, copies, repeated).
+
+    ``copies`` rows stand at the position, ``repeated`` of them are repeats: all,
+    or all but one where the position is an accepted one. Written to the shared
+    folder: it is needed more than once, and its true size decides how it is joined.
+    """
+    narrow = events.select(*KEY)
+    several = narrow.groupBy("event_id").count().where("count > 1").select("event_id")
+    again = narrow.join(several, "event_id", "left_semi")
+    path = fresh_path(events.sparkSession, "arrivals")
+    again.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")).write.parquet(path)
+    arrivals = events.sparkSession.read.parquet(path)
+    accepted = accepted_arrivals(arrivals, ttl_seconds).withColumn("accepted", F.lit(1))
+    found = (
+        arrivals.join(accepted, KEY, "left")
+        .withColumn("repeated", F.col("copies") - F.coalesce("accepted", F.lit(0)))
+        .where("repeated > 0")
+        .drop("accepted")
     )
+    path = fresh_path(events.sparkSession, "repeats")
+    found.write.parquet(path)
+    return events.sparkSession.read.parquet(path)
+
+
+def _one_accepted(tied: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that share an accepted position, all but one of each position flagged.
+
+    Equal rows are combined to a count before they move and told apart again
+    after, so any number of copies is one row in between.
+    """
+    first = Window.partitionBy(*KEY).orderBy(*[c for c in columns if c not in KEY])
+    counted = tied.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     return (
-        events.join(accepted, KEY, "left")
-        .withColumn("is_repeat", eligible & F.col("accepted").isNull())
-        .select(*events.columns, "is_repeat")
+        counted.withColumn("_rank", F.row_number().over(first))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .select(*columns, ((F.col("_rank") > 1) | (F.col("_copy") > 1)).alias("is_repeat"))
+    )
+
+
+def flag_repeats(events: DataFrame, eligible: Column, ttl_seconds: int = 3600) -> DataFrame:
+    """Add ``is_repeat``; rows where ``eligible`` is false take no part.
+
+    Right also for rows that are equal in everything: one of them is accepted.
+    """
+    columns = events.columns
+    found = repeats(events.where(eligible), ttl_seconds)
+    flagged = (
+        events.join(found, KEY, "left")
+        .withColumn("is_repeat", eligible & F.col("copies").isNotNull())
+        .withColumn("_tied", F.col("is_repeat") & (F.col("copies") > F.col("repeated")))
     )
+    plain = [*columns, F.coalesce("is_repeat", F.lit(False)).alias("is_repeat")]
+    if found.where("copies > repeated").isEmpty():
+        return flagged.select(*plain)
+    single = flagged.where(~F.coalesce("_tied", F.lit(False))).select(*plain)
+    return single.unionByName(_one_accepted(flagged.where("_tied"), columns))

@@ -13,9 +13,6 @@ from curvewright.operators.validate import RAW_FIELDS
 from curvewright.sources import vendor
 from curvewright.sources.bronze import arrival_range, in_hours, reinflate
 
-DLQ_LIMIT = 500_000
-
-
 def check_request(start: datetime, end: datetime, source: str, provider: str | None) -> None:
     """Reject a job whose window is empty or whose provider is missing."""
     if end <= start:
@@ -88,6 +85,35 @@ _RAW_DOCUMENT = (
 )
 
 
+def _replayable(
+    letters: DataFrame, start: Column, end: Column, provider: str | None, instrument: str | None
+) -> DataFrame:
+    chosen = letters.where(F.col("dlq_timestamp").between(start, end))
+    if provider:
+        chosen = chosen.where(F.col("provider") == provider)
+    if instrument:
+        chosen = chosen.where(F.col("instrument") == instrument)
+    return (
+        chosen.withColumn("_raw", F.from_json("raw_payload", _RAW_DOCUMENT))
+        .withColumn("_at", F.col("_raw.event_timestamp").try_cast("timestamp"))
+        .where("_at IS NOT NULL AND _raw.payload IS NOT NULL")
+    )
+
+
+def left_out(
+    letters: DataFrame,
+    start: Column,
+    end: Column,
+    limit: int,
+    provider: str | None = None,
+    instrument: str | None = None,
+) -> DataFrame:
+    """One row: how many letters of the window a replay of ``limit`` leaves."""
+    return _replayable(letters, start, end, provider, instrument).agg(
+        F.greatest(F.count(F.lit(1)) - limit, F.lit(0)).alias("left_out")
+    )
+
+
 def replay_dlq(
     letters: DataFrame,
     job_id: str,
@@ -96,24 +122,15 @@ def replay_dlq(
     received_at: Column,
     provider: str | None = None,
     instrument: str | None = None,
-    limit: int = DLQ_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Dead letters of a window as raw events again, oldest first up to ``limit``.
+    """Dead letters of a window as raw events again: all, or the oldest ``limit``.
 
-    Blank providers and instruments come from the letter itself. Letters whose
+    ``left_out`` counts what a limit leaves. Blank providers and instruments come from the letter itself. Letters whose
     document is no raw event are skipped.
     """
-    chosen = letters.where(F.col("dlq_timestamp").between(start, end))
-    if provider:
-        chosen = chosen.where(F.col("provider") == provider)
-    if instrument:
-        chosen = chosen.where(F.col("instrument") == instrument)
-    rebuilt = (
-        chosen.withColumn("_raw", F.from_json("raw_payload", _RAW_DOCUMENT))
-        .withColumn("_at", F.col("_raw.event_timestamp").try_cast("timestamp"))
-        .where("_at IS NOT NULL AND _raw.payload IS NOT NULL")
-    )
-    kept = first_n(rebuilt, ["dlq_timestamp", "arrival_seq"], limit)
+    rebuilt = _replayable(letters, start, end, provider, instrument)
+    kept = rebuilt if limit is None else first_n(rebuilt, ["dlq_timestamp", "arrival_seq"], limit)
     events = kept.select(
         F.col("original_event_id").alias("event_id"),
         F.coalesce(F.nullif(F.col("_raw.provider"), F.lit("")), "provider").alias("provider"),

@@ -47,12 +47,30 @@ def latest_prices(curves: DataFrame) -> DataFrame:
 
 
 def history(curves: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
-    """Newest ``rows`` events per instrument; earlier ones are dropped map-side."""
+    """Newest ``rows`` events per instrument, whatever the number.
+
+    Counts per instrument and hour, combined before they move, tell the hour in
+    which the last wanted event lies; older events go before anything is ranked,
+    so a task sorts about ``rows`` events and one hour's.
+    """
     newest = Window.partitionBy("instrument").orderBy(
         F.col("event_timestamp_ms").desc(), F.col("event_id").desc()
     )
+    hour = F.expr("unix_seconds(event_timestamp) div 3600")
+    later = Window.partitionBy("instrument").orderBy(F.col("_hour").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    counts = curves.groupBy("instrument", hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_events"))
+    cut = (
+        counts.withColumn("_later", F.coalesce(F.sum("_events").over(later), F.lit(0)))
+        .where(F.col("_later") < rows)
+        .groupBy(F.col("instrument").alias("_of"))
+        .agg(F.min("_hour").alias("_cut"))
+    )
+    reached = curves.join(cut, F.col("instrument").eqNullSafe(F.col("_of")) & (hour >= F.col("_cut")))
     return (
-        curves.withColumn("event_timestamp_ms", F.unix_millis("event_timestamp"))
+        reached.drop("_of", "_cut")
+        .withColumn("event_timestamp_ms", F.unix_millis("event_timestamp"))
         .withColumn("rank", F.row_number().over(newest))
         .where(F.col("rank") <= rows)
     )

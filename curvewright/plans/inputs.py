@@ -38,20 +38,9 @@ TENORS = (
 PROVIDERS = ("a", "b", "c")
 
 
-# A table this small per core comes in fewer pieces than there are cores.
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one too small to fill the cores is spread over them.
-
-    The rules downstream cost far more than moving such a table once. Larger
-    tables split into enough scan tasks and are never shuffled here.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return rows.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else rows
+    """A given table; how many tasks scan it is the reader's setting."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: tuple, index: Column) -> Column:

@@ -35,6 +35,7 @@ def sql(query: str) -> str:
     parts = [f"{name} AS ({_CTES[name]})" for name in _CTES if name in found]
     if not parts:
         return query.strip()
+    # A query may go on with tables of its own.
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + query.strip()
 
 

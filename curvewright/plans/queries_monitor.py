@@ -85,8 +85,9 @@ define("w_held_critical", _held("w_eval_critical", "per_minute > 0.006", 0))
 define("w_held_malformed", _held("w_eval_malformed", "ratio > 0.05", 1))
 define("w_gap", """
 SELECT provider, received_at AS last_event_at, resumed_at,
-  (epoch_us(resumed_at) - epoch_us(received_at)) / 1e6 AS gap_seconds
-FROM (SELECT provider, received_at, lead(received_at) OVER (PARTITION BY provider ORDER BY received_at)
+  (epoch_us(coalesce(resumed_at, as_of + INTERVAL 6 HOUR)) - epoch_us(received_at)) / 1e6 AS gap_seconds,
+  as_of + INTERVAL 6 HOUR AS looked_at
+FROM w_clock, (SELECT provider, received_at, lead(received_at) OVER (PARTITION BY provider ORDER BY received_at)
         AS resumed_at FROM (SELECT DISTINCT provider, received_at FROM w_raw))
 """)
 define("w_alert", """
@@ -97,7 +98,7 @@ FROM w_held_critical
 UNION ALL SELECT 'HighMalformedRate', 'feed', 'warning', provider, starts_at, ends_at
 FROM w_held_malformed
 UNION ALL SELECT 'ProviderOutage', 'feed', 'critical', provider,
-  last_event_at + INTERVAL 15000 SECOND, resumed_at FROM w_gap WHERE gap_seconds > 15000
+  last_event_at + INTERVAL 15000 SECOND, coalesce(resumed_at, looked_at) FROM w_gap WHERE gap_seconds > 15000
 """)
 
 
@@ -347,7 +348,7 @@ SELECT provider, last_event_at, last_event_at + INTERVAL 240 SECOND AS starts_at
 FROM w_gap WHERE gap_seconds > 240
 """)
 def alert_provider_outage(st: Stages):
-    return alerts.provider_outage(st.raw).withColumn("gap_seconds", F.round("gap_seconds", 6))
+    return alerts.provider_outage(st.raw, st.alert_clock).withColumn("gap_seconds", F.round("gap_seconds", 6))
 
 
 @query("alert_dlq_spike", """

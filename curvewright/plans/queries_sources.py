@@ -47,6 +47,7 @@ SELECT *, CASE WHEN e % 307 = 0 THEN 'not a JSON object' WHEN e % 311 = 0 THEN '
 """)
 define("w_bar", """
 SELECT *, l_orderkey * 10 + l_linenumber AS seq,
+  l_shipdate::TIMESTAMP + to_microseconds(((l_orderkey * 10 + l_linenumber) * 7919) % 86399999989) AS traded_at,
   CASE WHEN l_suppkey % 2 = 0 THEN 'BRENT' ELSE 'WTI' END AS instrument,
   CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 5 THEN ''
        WHEN l_suppkey % 2 = 0 THEN 'BRN' ELSE 'CL' END AS symbol,
@@ -55,6 +56,13 @@ FROM lineitem
 """)
 
 
+def _trade_nanos():
+    """Nanoseconds of the ship date plus an odd part of a day."""
+    seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    micros = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + F.pmod(seq * 7919, F.lit(86_399_999_989))
+    return micros * 1000 + F.pmod(seq, F.lit(1000))
+
+
 def bars(st: Stages) -> DataFrame:
     """Exported vendor bars in the shape of ``lineitem``."""
     even = F.col("l_suppkey") % 2 == 0
@@ -65,7 +73,7 @@ def bars(st: Stages) -> DataFrame:
     close = F.when(F.col("l_partkey") % 50 == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
     return table(st.spark, st.sf_dir, "lineitem").select(
         F.when(even, "BRENT").otherwise("WTI").alias("instrument"),
-        (F.unix_micros(F.col("l_shipdate").cast("timestamp")) * 1000).alias("ts_event"),
+        _trade_nanos().alias("ts_event"),
         fixed(F.col("l_extendedprice")).alias("open"),
         fixed(F.col("l_extendedprice") * 2).alias("high"),
         fixed(F.col("l_extendedprice") / 2).alias("low"),
@@ -157,16 +165,18 @@ def dlq_unexpected(st: Stages):
 
 
 @query("sink_topic", """
-SELECT curve_name AS key, count(*) AS messages, count(DISTINCT trace_id) AS traces
+SELECT curve_name AS key, count(*) AS messages, count(DISTINCT trace_id) AS traces,
+  CAST(max(version) AS BIGINT) AS last_version
 FROM w_curve GROUP BY curve_name
 """)
 def sink_topic(st: Stages):
     root = fresh_path(st.spark, "topic")
-    topics.write_topic(topics.curve_messages(st.curves_unversioned), "normalized", directory=root)
+    topics.write_topic(topics.curve_messages(st.curves), "normalized", directory=root)
     read = topics.read_topic(st.spark, "normalized", directory=root, stream=False)
     return read.groupBy(F.get_json_object("value", "$.curve_name").alias("key")).agg(
         F.count(F.lit(1)).alias("messages"),
         F.countDistinct(F.get_json_object("value", "$.trace_id")).alias("traces"),
+        F.max(F.get_json_object("value", "$.version").cast("bigint")).alias("last_version"),
     )
 
 
@@ -232,18 +242,18 @@ def bronze_reinflate(st: Stages):
 
 
 @query("silver_load", """
-SELECT event_id, curve_name, tenor, CAST(price AS DOUBLE) AS price,
+SELECT event_id, curve_name, tenor, CAST(price AS DOUBLE) AS price, CAST(version AS BIGINT) AS version,
   strftime(event_timestamp, '%Y-%m-%d') AS curve_date
 FROM w_curve
 """)
 def silver_load(st: Stages):
     path = fresh_path(st.spark, "silver")
-    rows = upserts.staged(st.silver_unversioned, fresh_path(st.spark, "staging"))
+    rows = upserts.staged(st.silver, fresh_path(st.spark, "staging"))
     # Two overlapping batches: the second repeats half of the first.
     upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") <= 20), path, fresh_path(st.spark, "staging"))
     upserts.load_silver(rows.where(F.dayofmonth("event_timestamp") > 10), path, fresh_path(st.spark, "staging"))
     return st.spark.read.parquet(path).select(
-        "event_id", "curve_name", "tenor", "price", F.col("curve_date").cast("date")
+        "event_id", "curve_name", "tenor", "price", "version", F.col("curve_date").cast("date")
     )
 
 
@@ -390,7 +400,7 @@ def json_landing(st: Stages):
 
 
 @query("vendor_bars", """
-SELECT seq AS arrival_seq, instrument, l_shipdate AS event_timestamp, round(close, 4) AS price,
+SELECT seq AS arrival_seq, instrument, traded_at AS event_timestamp, round(close, 4) AS price,
   CASE WHEN symbol = '' THEN 'M+1' WHEN symbol IS NULL THEN
     CASE instrument WHEN 'BRENT' THEN 'BRN' ELSE 'CL' END ELSE symbol END AS tenor,
   CASE instrument WHEN 'BRENT' THEN 'BRENT_CRUDE_FORWARD' ELSE 'WTI_CRUDE_FORWARD' END AS curve_name,
@@ -415,7 +425,7 @@ def vendor_bars(st: Stages):
 SELECT seq AS arrival_seq, 'vendor-x' AS provider,
   CASE WHEN l_linenumber = 6 THEN 'WTI' WHEN l_linenumber = 5 THEN CAST(seq % 1000 AS VARCHAR)
        ELSE symbol END AS instrument,
-  l_shipdate AS event_timestamp, CAST(l_quantity AS BIGINT) AS size, 'databento_historical' AS replay_source
+  traded_at AS event_timestamp, CAST(l_quantity AS BIGINT) AS size, 'databento_historical' AS replay_source
 FROM w_bar
 """)
 def vendor_trades(st: Stages):
@@ -454,9 +464,17 @@ def _now():
     return F.lit(_CLOCK).cast("timestamp")
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
 def _bronze_frame(st: Stages) -> DataFrame:
-    """Bronze rows without the files in between."""
-    return bronze.bronze_rows(st.raw)
+    """The feed's Bronze, written once a session, read back by folder."""
+    of = (st.spark.sparkContext.applicationId, st.sf_dir)
+    if of not in _written:
+        path = fresh_path(st.spark, "bronze")
+        bronze.write_bronze(st.raw, path)
+        _written[of] = path
+    return bronze.read_bronze(st.spark, _written[of])
 
 
 @query("replay_bronze", f"""
@@ -479,22 +497,22 @@ _DLQ_REPLAY = f"""
 SELECT seq AS arrival_seq, md5('job-d|' || original_event_id || '|' || seq) AS event_id, provider,
   instrument, 'dlq' AS replay_source
 FROM w_dlq WHERE dlq_timestamp {_BETWEEN}
-ORDER BY dlq_timestamp, seq LIMIT 40
 """
 
 
 @query("replay_dlq", _DLQ_REPLAY)
 def replay_dlq(st: Stages):
     return replay.replay_dlq(
-        st.kept.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now(), limit=40
+        st.kept.dead_letters, "job-d", F.lit(FROM), F.lit(TO), _now()
     ).select("arrival_seq", "event_id", "provider", "instrument", "replay_source")
 
 
 @query("replay_vendor", """
-SELECT seq AS arrival_seq, instrument, l_shipdate AS event_timestamp FROM (
-  SELECT seq, 'CL' AS instrument, l_shipdate FROM w_bar
+SELECT seq AS arrival_seq, instrument, traded_at AS event_timestamp FROM (
+  SELECT seq, 'CL' AS instrument, traded_at FROM w_bar
   WHERE symbol = 'CL' AND l_linenumber <> 6
-    AND l_shipdate BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-03-31')
+    AND epoch_us(traded_at) * 1000 + seq % 1000
+      BETWEEN epoch_us(TIMESTAMP '1999-01-01') * 1000 AND epoch_us(TIMESTAMP '1999-03-31') * 1000)
 """)
 def replay_vendor(st: Stages):
     start = datetime(1999, 1, 1, tzinfo=timezone.utc)
@@ -569,13 +587,15 @@ def replay_audit(st: Stages):
 @query("bronze_gap_check", """
 SELECT p.provider, h.g AS hour
 FROM (SELECT DISTINCT provider FROM w_raw WHERE provider <> '') p,
-  (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00',
-     INTERVAL 1 HOUR)) AS g) h
+  (SELECT unnest(generate_series(min(date_trunc('hour', received_at)), max(date_trunc('hour', received_at)),
+     INTERVAL 1 HOUR)) AS g FROM w_raw WHERE provider <> '') h
 WHERE NOT EXISTS (SELECT 1 FROM w_raw r WHERE r.provider = p.provider
                   AND date_trunc('hour', r.received_at) = h.g)
 """)
 def bronze_gap_check(st: Stages):
-    named = st.raw.where("provider <> ''")
-    first, last = (F.lit(t).cast("timestamp") for t in ("2024-01-01 00:00:00", "2024-01-30 23:00:00"))
-    hours = replay.partition_hours(bronze.bronze_rows(named))
-    return replay.bronze_gaps(hours, named, first, last)
+    # The nameless provider has no folder of its own name; its hours are not asked for.
+    hours = replay.partition_hours(_bronze_frame(st).where("provider <> '' AND provider <> '__HIVE_DEFAULT_PARTITION__'"))
+    hours = upserts.staged(hours, fresh_path(st.spark, "hours"))
+    # From the first to the last hour that holds anything.
+    first, last = (hours.agg(end("hour")).scalar() for end in (F.min, F.max))
+    return replay.bronze_gaps(hours, hours, first, last)

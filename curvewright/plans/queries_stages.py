@@ -44,6 +44,48 @@ def val_dedup(st: Stages):
     return st.outcomes.where("outcome = 'duplicate'").select("provider", "event_id", "arrival_seq")
 
 
+@query("val_dedup_copies", """
+, f AS (
+  SELECT event_id, structure_category, received_at + to_seconds(3000 * c) AS received_at, seq * 16 + c AS pos
+  FROM w_structure, (SELECT unnest(range(10)) AS c) WHERE seq % 14 = 0
+  UNION ALL
+  SELECT event_id, structure_category, received_at, seq * 16 FROM w_structure, (SELECT unnest(range(3)) AS c)
+  WHERE seq % 14 = 2),
+g AS (SELECT DISTINCT event_id, epoch_us(received_at) // 1000 AS ms, pos, received_at
+      FROM f WHERE structure_category IS NULL),
+a AS (
+  SELECT event_id, ms, pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY received_at, pos) AS rn FROM g) WHERE rn = 1
+  UNION ALL
+  SELECT event_id, ms, pos FROM (
+    SELECT g.event_id, g.ms, g.pos,
+           row_number() OVER (PARTITION BY g.event_id ORDER BY g.received_at, g.pos) AS rn
+    FROM a JOIN g ON g.event_id = a.event_id AND g.ms >= a.ms + 3600000) WHERE rn = 1)
+SELECT f.event_id, f.pos AS arrival_seq, count(*) AS copies,
+  CAST(CASE WHEN any_value(structure_category) IS NOT NULL THEN 0
+       WHEN any_value(a.pos) IS NOT NULL THEN count(*) - 1 ELSE count(*) END AS BIGINT) AS repeated
+FROM f LEFT JOIN a ON a.event_id = f.event_id AND a.pos = f.pos
+GROUP BY f.event_id, f.pos
+""")
+def val_dedup_copies(st: Stages):
+    """Chains of copies longer than the time to live, and rows equal in everything."""
+    number = F.col("arrival_seq")
+    chains = st.raw.where(number % 14 == 0).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    chains = chains.withColumns(
+        {
+            "received_at": F.timestamp_micros(F.unix_micros("received_at") + F.col("c").cast("bigint") * 3_000_000_000),
+            "arrival_seq": number * 16 + F.col("c"),
+        }
+    ).drop("c")
+    equal = st.raw.where(number % 14 == 2).withColumn("c", F.explode(F.array_repeat(F.lit(0), 3)))
+    equal = equal.withColumn("arrival_seq", number * 16).drop("c")
+    return (
+        validate.validate(chains.unionByName(equal))
+        .groupBy("event_id", "arrival_seq")
+        .agg(F.count(F.lit(1)).alias("copies"), F.count_if(F.col("outcome") == "duplicate").alias("repeated"))
+    )
+
+
 @query("val_time_bounds", """
 SELECT seq AS arrival_seq, category, reason FROM w_outcome
 WHERE category IN ('stale', 'out_of_order')

@@ -162,6 +162,11 @@ class Stages:
             (F.col("events_to_replay") * 20 + number * 1000).alias("duration_ms"),
         )
 
+    @cached_property
+    def alert_clock(self) -> Column:
+        """When alerts are looked at: six hours after the feed's last event."""
+        return self.as_of + F.expr("INTERVAL 6 HOUR")
+
     @cached_property
     def alerts(self) -> DataFrame:
         """Alerts of four rules over the derived feed, in the common form."""
@@ -186,7 +191,10 @@ class Stages:
             hour,
             hour,
         )
-        outage = alerts.provider_outage(self.raw, 4 * hour, 600)
+        # One that still lasts counts as lasting until now.
+        outage = alerts.provider_outage(self.raw, self.alert_clock, 4 * hour, 600).withColumn(
+            "ends_at", F.coalesce("ends_at", self.alert_clock)
+        )
         return (
             alerts.alert_rows(spike, "DLQSpike", "validation", "warning", "starts_at", "ends_at")
             .unionByName(

@@ -43,7 +43,8 @@ def read_topic(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             F.col("timestamp").alias("received_at"),
-            F.col("offset").alias("arrival_seq"),
+            # An offset is unique in its partition only.
+            (F.col("offset") * 65536 + F.pmod(F.xxhash64("topic", "partition"), F.lit(65536))).alias("arrival_seq"),
         )
     if stream and per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)

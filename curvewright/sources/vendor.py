@@ -17,7 +17,9 @@ def _contract(field: str, instrument: Column) -> Column:
 
 
 def _nanos_to_time(nanos: Column) -> Column:
-    return F.timestamp_micros(F.floor(nanos / 1000))
+    # Whole numbers: nanoseconds since 1970 have no exact double. Rounds down, also before 1970.
+    nanos = nanos.cast("bigint")
+    return F.timestamp_micros(F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000)))
 
 
 def bar_events(bars: DataFrame, provider: str = "databento") -> DataFrame:

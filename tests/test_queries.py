@@ -45,9 +45,11 @@ def test_plans_have_no_cross_join_or_row_python(spark, name):
         assert bad not in plan
 
 
-def test_history_is_limited_before_the_shuffle(spark):
-    plan = entry.queries()["srv_history"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+def test_bronze_reads_only_the_asked_folders(spark):
+    for name in ("bronze_scan", "replay_bronze"):
+        plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        assert all(f"{part}#" in filters for part in ("provider", "dt", "hh"))
 
 
 def test_scans_read_only_needed_columns(spark):

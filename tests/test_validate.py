@@ -214,3 +214,46 @@ def test_rolling_average_matches_the_fold_and_carries_over(spark, window):
         for r in rest:
             if r["provider"] == provider:
                 assert r["rolling_average"] == pytest.approx(by_seq[r["arrival_seq"]], abs=1e-12)
+
+
+def test_of_equal_messages_one_passes(spark, tmp_path):
+    import json
+
+    from curvewright.sources import topics
+
+    message = {
+        "event_id": "same", "provider": "p", "instrument": "TTF", "received_at": "2024-03-01T12:00:00Z",
+        "event_timestamp": "2024-03-01T12:00:00Z", "payload": {"price": 42.5, "tenor": "2024-03"},
+    }
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    other = json.dumps(message | {"event_id": "other"})
+    (folder / "part.json").write_text("\n".join([json.dumps(message)] * 3 + [other]) + "\n")
+    read = topics.read_topic(spark, "raw", directory=str(tmp_path), stream=False)
+    outcomes = validate.validate(topics.decode(read)[0])
+    counts = {(r["event_id"], r["outcome"]): r["count"] for r in outcomes.groupBy("event_id", "outcome").count().collect()}
+    assert counts == {("same", "passed"): 1, ("same", "duplicate"): 2, ("other", "passed"): 1}
+
+
+def test_equal_positions_with_different_content_accept_one(spark):
+    rows = [{"event_id": "x", "arrival_seq": 7, "trace_id": t} for t in ("a", "b", "b")]
+    rows += [{"event_id": "", "arrival_seq": 7}] * 2 + [{"event_id": "y"}]
+    got = validate.validate(raw(spark, rows)).groupBy("event_id", "outcome").count().collect()
+    assert {tuple(r) for r in got} == {("x", "passed", 1), ("x", "duplicate", 2), ("", "failed", 2), ("y", "passed", 1)}
+
+
+def test_a_silent_provider_is_out_until_now(spark):
+    from curvewright.operators import alerts
+
+    events = raw(spark, [{"provider": "a"}, {"provider": "b", "received_at": NOON + timedelta(minutes=59)}])
+    got = alerts.provider_outage(events, F.lit(NOON + timedelta(hours=1))).collect()
+    assert [(r["provider"], r["ends_at"], r["gap_seconds"]) for r in got] == [("a", None, 3600.0)]
+
+
+def test_vendor_times_keep_every_microsecond(spark):
+    from curvewright.sources import vendor
+
+    micros = [1_700_000_000_000_001 + 7 * i for i in range(2000)] + [-1, -999_999]
+    frame = spark.createDataFrame([(m * 1000 + m % 1000,) for m in micros], "n long")
+    got = [r[0] for r in frame.select(F.unix_micros(vendor._nanos_to_time(F.col("n")))).collect()]
+    assert got == micros

@@ -141,7 +141,6 @@ def with_versions(curves: DataFrame, start: DataFrame | None = None) -> DataFram
         curves,
         ["curve_name"],
         "version",
-        clock="ingestion_timestamp",
         order=("ingestion_timestamp", "arrival_seq"),
         start=start,
     )

@@ -1,10 +1,10 @@
 """Running positions and sums over hot keys.
 
 A window over ``(key, arrival order)`` puts a whole key in one task. A key here
-may hold a third of all rows, so order is resolved in two levels instead: each
-key is cut into time buckets, rows are numbered inside ``(key, bucket)``, and a
-prefix sum over the few bucket counts supplies the offset. Both shuffles hash on
-``(key, bucket)``, and the bucket counts are combined before they move.
+may hold a third of all rows, so rows are range-partitioned on (key, order)
+instead, with bounds the engine samples: a task holds a bounded number of rows
+however they spread over keys and times. A position is the row's place in its
+partition plus a prefix sum over the partitions before it.
 """
 
 from __future__ import annotations
@@ -15,36 +15,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvewright.schemas import ARRIVAL_ORDER
+from curvewright.session import fresh_path
 
 
 def running_position(
     df: DataFrame,
     keys: Sequence[str],
     name: str,
-    clock: str = "received_at",
     order: Sequence[str] = ARRIVAL_ORDER,
-    bucket_seconds: int = 3600,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """1-based position of every row within its key, in ``order``.
 
-    ``order`` must begin with ``clock``. ``start`` optionally carries
-    ``(keys, <name>)`` with the last position handed out earlier.
+    ``start`` optionally carries ``(keys, <name>)`` with the last position
+    handed out earlier. The ordered rows are written to the shared folder:
+    places in a partition hold only for the one exchange that made it.
     """
-    if order[0] != clock:
-        raise ValueError("order must begin with the clock column")
-    second = F.unix_seconds(F.col(clock))
-    bucketed = df.withColumn("_bucket", second - F.pmod(second, F.lit(bucket_seconds)))
-    groups = [*keys, "_bucket"]
-
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    path = fresh_path(df.sparkSession, "ordered")
+    (
+        df.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+        .write.parquet(path)
     )
+    rows = df.sparkSession.read.parquet(path)
+    groups = [*keys, "_part"]
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .drop("_rows")
+        rows.groupBy(*groups)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1)
+        .drop("_rows", "_first")
     )
     if start is not None:
         carried = start.select(*keys, F.col(name).alias("_carried"))
@@ -53,56 +54,28 @@ def running_position(
             .withColumn("_before", F.col("_before") + F.coalesce("_carried", F.lit(0)))
             .drop("_carried")
         )
-
-    within = Window.partitionBy(*groups).orderBy(*order)
-    numbered = bucketed.withColumn("_local", F.row_number().over(within))
-    joined = numbered.alias("n").join(
+    joined = rows.alias("n").join(
         offsets.alias("o"),
         on=[F.col(f"n.{g}").eqNullSafe(F.col(f"o.{g}")) for g in groups],
     )
     return joined.select(
         *[F.col(f"n.{c}") for c in df.columns],
-        (F.col("n._local") + F.col("o._before")).alias(name),
+        (F.col("n._row") + F.col("o._before")).alias(name),
     )
 
 
-def first_n(
-    df: DataFrame, order: Sequence[str], n: int, bucket_seconds: int = 3600
-) -> DataFrame:
+def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows overall, found without gathering them in one task."""
-    whole = df.withColumn("_all", F.lit(1))
-    placed = running_position(
-        whole, ["_all"], "_position", clock=order[0], order=order, bucket_seconds=bucket_seconds
-    )
+    placed = running_position(df.withColumn("_all", F.lit(1)), ["_all"], "_position", order)
     return placed.where(F.col("_position") <= n).drop("_all", "_position")
 
 
-def next_arrival(
-    df: DataFrame, keys: Sequence[str], clock: str, name: str, bucket_seconds: int = 3600
-) -> DataFrame:
-    """Distinct times of each key with the time that follows (NULL for the last).
-
-    Inside a bucket the following time is a ``lead``; the last time of a bucket
-    takes the earliest time of the next bucket that has any.
-    """
-    second = F.unix_seconds(F.col(clock))
-    times = (
-        df.select(
-            *keys, clock, (second - F.pmod(second, F.lit(bucket_seconds))).alias("_bucket")
-        )
-        .groupBy(*keys, "_bucket", clock)
-        .agg(F.count(F.lit(1)).alias("events"))
-    )
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    following = (
-        times.groupBy(*keys, "_bucket")
-        .agg(F.min(clock).alias("_first"))
-        .withColumn("_following", F.lead("_first").over(by_bucket))
-        .drop("_first")
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(clock)
-    return (
-        times.withColumn("_lead", F.lead(clock).over(inside))
-        .join(following, [*keys, "_bucket"])
-        .select(*keys, clock, "events", F.coalesce("_lead", "_following").alias(name))
+def next_arrival(df: DataFrame, keys: Sequence[str], clock: str, name: str) -> DataFrame:
+    """Distinct times of each key with the time that follows (NULL for the last)."""
+    times = df.groupBy(*keys, clock).agg(F.count(F.lit(1)).alias("events"))
+    placed = running_position(times, keys, "_place", [clock])
+    following = placed.select(*keys, (F.col("_place") - 1).alias("_place"), F.col(clock).alias(name))
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"f.{k}")) for k in (*keys, "_place")]
+    return placed.alias("t").join(following.alias("f"), same, "left").select(
+        *[F.col(f"t.{c}") for c in (*keys, clock, "events")], F.col(f"f.{name}").alias(name)
     )

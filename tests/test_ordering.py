@@ -32,6 +32,21 @@ def test_running_position(spark, rows):
         assert got[seq] == seen[key]
 
 
+def test_one_key_in_one_hour_is_many_tasks(spark):
+    df = spark.range(40_000).selectExpr(
+        "'hot' AS k", "timestamp_micros(1700000000000000 + id) AS received_at", "id AS arrival_seq"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one task
+    try:
+        placed = running_position(df, ["k"], "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert placed.where("n != arrival_seq + 1").isEmpty()
+    files = placed.inputFiles()
+    sizes = [spark.read.parquet(f).count() for f in files]
+    assert len(sizes) >= 3 and max(sizes) < 2 * 40_000 / len(sizes)
+
+
 def test_first_n(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {r["arrival_seq"] for r in first_n(df, ["received_at", "arrival_seq"], 500).collect()}

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import checkpointed, query, table
+from curvewright.llm.common import checkpointed, query, stored, table
 
 #: Neighbours of each node; most members of one comparison in a task.
 DEGREE, BLOCK = 30, 256
@@ -17,9 +17,9 @@ OFFERS = 12
 BUCKET = 256
 #: Random splits that give the first graph; rounds of descent at most, and the share
 #: of changed edges at which it ends.
-SPLITS, ROUNDS, SETTLED = 3, 8, 0.05
+SPLITS, ROUNDS, SETTLED = 3, 6, 0.05
 #: Nodes a search keeps, nodes it expands in a step, and steps at most.
-BEAM, STEP, STEPS = 160, 32, 12
+BEAM, STEP, STEPS = 160, 48, 4
 
 
 def _stack(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
@@ -227,7 +227,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "s").withColumn("r", rank)
     ways = checkpointed(edges.select("u", "v").unionByName(back.where(F.col("r") <= 2 * DEGREE).select("u", "v")).distinct())
     asked = queries.select(F.col("node").alias("q")).distinct()
-    asked = checkpointed(asked.join(nodes, asked["q"] == nodes["node"]).select("q", F.col("vec").alias("qvec")))
+    # Written, so that the engine broadcasts it if it really is small.
+    asked = stored(asked.join(nodes, asked["q"] == nodes["node"]).select("q", F.col("vec").alias("qvec")), "asked")
     best = Window.partitionBy("q").orderBy(F.desc("s"), "v")
     todo = Window.partitionBy("q").orderBy("done", F.desc("s"), "v")
 
@@ -244,17 +245,20 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
             "q", "v", "s", "done", (~F.col("done") & (F.col("r") <= STEP)).alias("now")
         )
         reached = turn.where("now").select("q", F.col("v").alias("u")).join(ways, "u").select("q", "v").distinct()
-        fresh = reached.join(beam.select("q", "v"), ["q", "v"], "left_anti")
         measured = (
-            fresh.join(nodes, fresh["v"] == nodes["node"])
+            reached.join(nodes, reached["v"] == nodes["node"])
             .join(asked, "q")
             .select("q", "v", "vec", "qvec")
             .mapInArrow(score, "q long, v long, s float")
             .withColumn("done", F.lit(False))
         )
+        # A node met again is measured again, and is one row with what the beam knew of it.
         beam = checkpointed(
             turn.select("q", "v", "s", (F.col("done") | F.col("now")).alias("done"))
             .unionByName(measured)
+            .repartition("q")
+            .groupBy("q", "v")
+            .agg(F.max("s").alias("s"), F.max("done").alias("done"))
             .withColumn("r", F.row_number().over(best))
             .where(F.col("r") <= BEAM)
             .drop("r")

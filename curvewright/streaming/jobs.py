@@ -1,8 +1,11 @@
 """The pipeline as Structured Streaming jobs.
 
 Each job reads the table the previous one writes. Results of a micro-batch go
-to a folder of their own epoch and are overwritten when the epoch is repeated,
-so a restart neither loses nor doubles rows.
+to a folder of their own epoch, written once: a repeated epoch finds them and
+leaves them, so the next job, which may have read them, sees no file twice.
+
+Repeats are decided against a carried table of anchors, without a watermark: a
+row that arrives late is decided like any other and has an outcome.
 """
 
 from __future__ import annotations
@@ -12,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curvewright.operators import gold, normalise, validate
+from curvewright.operators.dedup import flag_repeats
 from curvewright.schemas import CURVE_EVENT
-from curvewright.sources import upserts
+from curvewright.sources import topics, upserts
 from curvewright.sources.tables import silver_rows
-from curvewright.streaming.state import CarriedTable, flag_repeats
+from curvewright.streaming.state import CarriedTable
 
 
 def _start(stream: DataFrame, work, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -24,8 +28,12 @@ def _start(stream: DataFrame, work, checkpoint: str, every: str | None) -> Strea
     return writer.start()
 
 
-def _epoch_write(rows: DataFrame, path: str, epoch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+def _epoch_write(rows: DataFrame, path: str, epoch: int) -> DataFrame:
+    """Write an epoch's rows unless they are there, and go on from the written ones."""
+    folder = f"{path}/epoch={epoch}"
+    if upserts.existing_table(rows.sparkSession, folder) is None:
+        rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
 
 
 def table_stream(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
@@ -36,25 +44,70 @@ def table_stream(spark: SparkSession, path: str, schema, files: int | None = Non
     return reader.parquet(f"{path}/epoch=*")
 
 
+class _Validation:
+    """What a micro-batch of raw events goes through."""
+
+    def __init__(self, spark: SparkSession, root: str, ttl_seconds: int, window: int, forget_seconds: int):
+        self.root, self.ttl, self.window, self.forget = root, ttl_seconds, window, forget_seconds
+        self.scores = CarriedTable(spark, f"{root}/state/scores", "provider")
+        self.anchors = CarriedTable(spark, f"{root}/state/anchors", "event_id")
+
+    def run(self, events: DataFrame, letters: DataFrame | None, epoch: int) -> None:
+        sound = F.col("structure_category").isNull()
+        flagged = flag_repeats(validate.apply_rules(events), sound, self.ttl, self.anchors.before(epoch))
+        outcomes = _epoch_write(validate.resolve(flagged), f"{self.root}/outcomes", epoch)
+        _epoch_write(validate.validated_events(outcomes), f"{self.root}/validated", epoch)
+        dead = validate.dead_letters(outcomes)
+        _epoch_write(dead if letters is None else dead.unionByName(letters), f"{self.root}/dlq", epoch)
+        rolled = validate.rolling_scores(
+            validate.scored_events(outcomes), self.window, start=self.scores.before(epoch)
+        )
+        self.scores.save(validate.rolling_carry(rolled), epoch)
+        unsound = F.coalesce("category", F.lit("")).isin("missing_required_field", "schema_violation")
+        accepted = outcomes.where((F.col("outcome") != "duplicate") & ~unsound)
+        anchors = accepted.groupBy("event_id").agg(F.max(F.unix_millis("received_at")).alias("anchor_ms"))
+        newest = accepted.agg(F.max(F.unix_millis("received_at"))).first()[0]
+        keep = None if newest is None else F.col("anchor_ms") > newest - (self.ttl + self.forget) * 1000
+        self.anchors.save(anchors, epoch, keep)
+
+
 def validation_job(
-    raw: DataFrame, root: str, every: str | None = None, ttl_seconds: int = 3600, window: int = 100
+    raw: DataFrame,
+    root: str,
+    every: str | None = None,
+    ttl_seconds: int = 3600,
+    window: int = 100,
+    forget_seconds: int = 86_400,
 ) -> StreamingQuery:
-    """Raw events -> ``outcomes`` (all rows), ``validated``, ``dlq`` and provider scores."""
-    spark = raw.sparkSession
-    scores = CarriedTable(spark, f"{root}/state/scores", "provider")
-    flagged = flag_repeats(validate.apply_rules(raw), ttl_seconds)
+    """Raw events -> ``outcomes`` (all rows), ``validated``, ``dlq`` and provider scores.
+
+    Anchors are forgotten ``forget_seconds`` after their time to live by the
+    feed's own clock; a copy that comes later still is accepted anew.
+    """
+    steps = _Validation(raw.sparkSession, root, ttl_seconds, window, forget_seconds)
+    return _start(raw, lambda batch, epoch: steps.run(batch, None, epoch), f"{root}/checkpoints/validation", every)
+
+
+def intake_job(
+    messages: DataFrame,
+    root: str,
+    every: str | None = None,
+    ttl_seconds: int = 3600,
+    window: int = 100,
+    forget_seconds: int = 86_400,
+) -> StreamingQuery:
+    """Topic messages -> what :func:`validation_job` makes; undecodable ones go to ``dlq``.
+
+    A replay topic is one more name in the reader's list of topics; its
+    admission is the reader's ``per_trigger``.
+    """
+    steps = _Validation(messages.sparkSession, root, ttl_seconds, window, forget_seconds)
 
     def work(batch: DataFrame, epoch: int) -> None:
-        _epoch_write(validate.resolve(batch), f"{root}/outcomes", epoch)
-        outcomes = spark.read.parquet(f"{root}/outcomes/epoch={epoch}")
-        _epoch_write(validate.validated_events(outcomes), f"{root}/validated", epoch)
-        _epoch_write(validate.dead_letters(outcomes), f"{root}/dlq", epoch)
-        rolled = validate.rolling_scores(
-            validate.scored_events(outcomes), window, start=scores.before(epoch)
-        )
-        scores.save(validate.rolling_carry(rolled), epoch)
+        events, broken = topics.decode(batch)
+        steps.run(events, validate.undecodable_letters(broken), epoch)
 
-    return _start(flagged, work, f"{root}/checkpoints/validation", every)
+    return _start(messages, work, f"{root}/checkpoints/validation", every)
 
 
 def normalisation_job(validated: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
@@ -64,8 +117,7 @@ def normalisation_job(validated: DataFrame, root: str, every: str | None = None)
 
     def work(batch: DataFrame, epoch: int) -> None:
         curves = normalise.normalise(batch, versions.before(epoch))
-        _epoch_write(curves, f"{root}/curves", epoch)
-        written = spark.read.parquet(f"{root}/curves/epoch={epoch}")
+        written = _epoch_write(curves, f"{root}/curves", epoch)
         upserts.load_silver(silver_rows(written), f"{root}/silver", f"{root}/staging/silver/{epoch}")
         versions.save(written.groupBy("curve_name").agg(F.max("version").alias("version")), epoch)
 
@@ -91,8 +143,7 @@ def gold_job(
     )
 
     def work(batch: DataFrame, epoch: int) -> None:
-        _epoch_write(batch, f"{root}/tenor_prices", epoch)
-        closed = spark.read.parquet(f"{root}/tenor_prices/epoch={epoch}")
+        closed = _epoch_write(batch, f"{root}/tenor_prices", epoch)
         windows = gold.with_expected(gold.window_rows(closed), earlier=expected.before(epoch))
         gated = gold.gate(gold.assemble(windows))
         rows = gold.snapshot_rows(gold.with_shape(gold.loadable(gated, write_non_authoritative)))

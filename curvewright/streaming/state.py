@@ -1,126 +1,42 @@
-"""Keyed state of the streams."""
+"""State that the streams carry from one micro-batch to the next."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import Row
 
 from curvewright.sources.upserts import existing_table
 
-# The processor travels to the workers by value, so they need no installed copy.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class RepeatDetector(StatefulProcessor):
-    """Remembers, per event id, the arrival that anchors its time to live.
-
-    The decision uses the rows' own arrival times, so a backfill decides as the
-    live stream did. A timer on the same clock forgets an anchor once the
-    watermark has passed its time to live.
-    """
-
-    def __init__(self, ttl_seconds: int) -> None:
-        self._ttl_ms = ttl_seconds * 1000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("anchor_ms", T.LongType())])
-        self._handle = handle
-        self._anchor = handle.getValueState("anchor", schema)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        stored = self._anchor.get()
-        anchor = stored[0] if stored is not None else None
-        open_rows = []
-        for row in rows:
-            if row["structure_category"] is not None:
-                yield self._flagged(row, False)
-            elif anchor is not None and anchor <= row["_at_ms"] < anchor + self._ttl_ms:
-                yield self._flagged(row, True)
-            else:
-                open_rows.append(row)
-        latest = anchor
-        for row in sorted(open_rows, key=lambda r: (r["received_at"], r["arrival_seq"])):
-            repeat = latest is not None and row["_at_ms"] < latest + self._ttl_ms
-            if not repeat:
-                latest = row["_at_ms"]
-            yield self._flagged(row, repeat)
-        if latest is not None and latest != anchor:
-            self._anchor.update((latest,))
-            self._handle.registerTimer(latest + self._ttl_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        stored = self._anchor.get()
-        if stored is not None and stored[0] + self._ttl_ms <= expiredTimerInfo.getExpiryTimeInMs():
-            self._anchor.clear()
-        return iter(())
-
-    @staticmethod
-    def _flagged(row: Row, repeat: bool) -> Row:
-        values = row.asDict()
-        values.pop("_at_ms")
-        values["is_repeat"] = repeat
-        return Row(**values)
-
-    def close(self) -> None:
-        pass
-
-
-def flag_repeats(ruled: DataFrame, ttl_seconds: int = 3600, max_lag: str = "1 day") -> DataFrame:
-    """Streaming counterpart of the batch operator, keyed by event id.
-
-    ``max_lag`` is how far arrivals of different partitions may lie apart.
-    """
-    output = T.StructType([*ruled.schema.fields, T.StructField("is_repeat", T.BooleanType())])
-    timed = ruled.withColumn("_at_ms", F.unix_millis("received_at"))
-    return (
-        timed.withWatermark("received_at", max_lag)
-        .groupBy("event_id")
-        .transformWithState(
-            statefulProcessor=RepeatDetector(ttl_seconds),
-            outputStructType=output,
-            outputMode="append",
-            timeMode="eventTime",
-        )
-    )
-
 
 def drop_repeats_within_watermark(events: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
-    """Event-time variant without Python: keeps first rows, expires by watermark."""
+    """Event-time variant: keeps first rows, expires by watermark, drops later rows unseen."""
     return events.withWatermark("received_at", f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark(
         ["event_id"]
     )
 
 
 class CarriedTable:
-    """A few rows per key carried from one micro-batch to the next.
+    """A few values per key carried from one micro-batch to the next.
 
-    Counters and sums of hot keys are carried as tables instead of keyed state,
-    so that a batch can spread a key over many tasks. Every micro-batch writes
-    the keys it changed under its own epoch; a repeated epoch reads what earlier
-    epochs wrote and overwrites itself.
+    Counters, sums and anchors of hot keys are carried as tables instead of
+    keyed state, so that a batch can spread a key over many tasks. Every
+    micro-batch writes the whole table into one of two folders in turn and reads
+    the other: a repeated epoch finds what it started from, and the folders do
+    not grow with the number of epochs.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str) -> None:
         self._spark, self._path, self._key = spark, path, key
 
     def before(self, epoch: int) -> DataFrame | None:
-        rows = existing_table(self._spark, self._path)
-        if rows is None:
-            return None
-        others = [c for c in rows.columns if c not in (self._key, "epoch")]
-        return (
-            rows.where(F.col("epoch") < epoch)
-            .groupBy(self._key)
-            .agg(F.max_by(F.struct(*others), "epoch").alias("_last"))
-            .select(self._key, "_last.*")
-        )
-
-    def save(self, rows: DataFrame, epoch: int) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/epoch={epoch}")
+        rows = existing_table(self._spark, f"{self._path}/slot={(epoch - 1) % 2}") if epoch else None
+        return None if rows is None else rows.drop("_epoch")
+
+    def save(self, rows: DataFrame, epoch: int, keep: Column | None = None) -> None:
+        """The table after ``epoch``: ``rows`` replace their keys; ``keep`` tells what stays."""
+        earlier = self.before(epoch)
+        if earlier is not None:
+            rows = rows.unionByName(earlier.join(rows, self._key, "left_anti"))
+        if keep is not None:
+            rows = rows.where(keep)
+        rows.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{self._path}/slot={epoch % 2}")

@@ -62,3 +62,45 @@ def test_event_time_variant_drops_repeats(spark, stages, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.parquet(out).count() == near.select("event_id").distinct().count()
+
+
+def test_no_row_is_lost_late_empty_or_copied(spark, tmp_path):
+    import json
+    from datetime import timedelta
+
+    from builders import NOON
+
+    from curvewright.sources import topics
+
+    folder, root = tmp_path / "raw", str(tmp_path / "run")
+    folder.mkdir()
+
+    def message(event_id, at):
+        stamp = at.strftime("%Y-%m-%dT%H:%M:%SZ")
+        body = {"event_id": event_id, "provider": "p", "instrument": "TTF", "received_at": stamp}
+        return json.dumps(body | {"event_timestamp": stamp, "payload": {"price": 42.5, "tenor": "2024-03"}})
+
+    late = NOON - timedelta(days=5)
+    batches = [
+        [message("a", NOON)] * 40 + [message("", NOON)] * 60 + ["{broken", "[]"],
+        [message("b", NOON + timedelta(days=2)), message("a", NOON + timedelta(minutes=59))],
+        [message("c", late), message("c", late), message("a", late), message("a", NOON + timedelta(hours=1))],
+    ]
+    for number, lines in enumerate(batches):
+        (folder / f"part-{number}.json").write_text("\n".join(lines) + "\n")
+        stream = topics.read_topic(spark, "raw", directory=str(tmp_path), stream=True)
+        jobs.intake_job(stream, root, forget_seconds=10 * DAY).awaitTermination()
+    outcomes = spark.read.parquet(f"{root}/outcomes")
+    got = {(r["event_id"], r["outcome"]): r["count"] for r in outcomes.groupBy("event_id", "outcome").count().collect()}
+    assert got == {
+        ("a", "passed"): 2, ("a", "duplicate"): 41, ("", "failed"): 60, ("b", "passed"): 1,
+        ("c", "passed"): 1, ("c", "duplicate"): 1,
+    }
+    letters = spark.read.parquet(f"{root}/dlq")
+    assert letters.count() == 62 and outcomes.count() + 2 == sum(map(len, batches))
+
+
+def test_a_repeated_epoch_writes_nothing_new(spark, tmp_path):
+    rows = spark.range(5)
+    first = sorted(jobs._epoch_write(rows, str(tmp_path), 3).inputFiles())
+    assert sorted(jobs._epoch_write(rows, str(tmp_path), 3).inputFiles()) == first

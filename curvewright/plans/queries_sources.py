@@ -354,14 +354,15 @@ def gold_pipe(st: Stages):
 
 
 @query("quality_pipe", """
-SELECT provider, measurement_window, window_start, window_end, events_count, dlq_count,
-  warning_count, quality_score FROM w_history WHERE provider <> ''
+SELECT nullif(provider, '') AS provider, measurement_window, window_start, window_end, events_count,
+  dlq_count, warning_count, quality_score FROM w_history
 """)
 def quality_pipe(st: Stages):
     from curvewright.operators.quality import quality_history
 
-    named = quality_history(st.kept.outcomes, st.kept.gold).where("provider <> ''")
-    return landing.quality_pipe(_documents(named)).select(
+    # The nameless provider's empty text is one of those that mean NULL.
+    rows = quality_history(st.kept.outcomes, st.kept.gold)
+    return landing.quality_pipe(_documents(rows)).select(
         "provider",
         "measurement_window",
         "window_start",

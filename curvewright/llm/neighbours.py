@@ -19,7 +19,7 @@ BUCKET = 256
 #: of changed edges at which it ends.
 SPLITS, ROUNDS, SETTLED = 3, 6, 0.05
 #: Nodes a search keeps, nodes it expands in a step, and steps at most.
-BEAM, STEP, STEPS = 160, 48, 4
+BEAM, STEP, STEPS = 192, 64, 4
 
 
 def _stack(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:

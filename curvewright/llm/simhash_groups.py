@@ -76,7 +76,8 @@ def _merge(part: np.ndarray, i: int, js: np.ndarray) -> np.ndarray:
 
 
 def _columns(group: pa.Table, prefix: str = "") -> tuple[np.ndarray, ...]:
-    order = np.argsort(group[prefix + "n"].to_numpy(), kind="stable")
+    """id, n, w0 and w1 by size, equal sizes by id: the order does not depend on the arrival of rows."""
+    order = np.lexsort((group[prefix + "id"].to_numpy(), group[prefix + "n"].to_numpy()))
     return tuple(group[prefix + c].to_numpy()[order] for c in ("id", "n", "w0", "w1"))
 
 
@@ -90,6 +91,34 @@ def _near(n0, a0, a1, n1, b0, b1) -> np.ndarray:
     return _bits(a0, a1, b0, b1) <= np.where(np.minimum(n0[:, None], n1) < SMALL, SMALL_RADIUS, RADIUS)
 
 
+def _compare(a: pa.Table, b: pa.Table) -> pa.Table:
+    """Links between the rows of two tiles, which may be one tile: equal rows then have equal numbers."""
+    found = [np.zeros((2, 0), np.int64)]
+    if len(a) and len(b):
+        (ai, an, a0, a1), (bi, bn, b0, b1) = _columns(a), _columns(b, "r")
+        same = len(ai) == len(bi) and bool((ai == bi).all())
+        part = np.arange(len(ai) + len(bi)) if not same else np.arange(len(ai))
+        shift = 0 if same else len(ai)
+        for s in range(0, len(ai), 64):
+            rows = slice(s, s + 64)
+            lo = np.searchsorted(bn, an[rows][0] * SIMILAR - 1e-6)
+            hi = np.searchsorted(bn, an[rows][-1] / SIMILAR + 1e-6, side="right")
+            if lo >= hi:
+                continue
+            near = _near(an[rows], a0[rows], a1[rows], bn[lo:hi], b0[lo:hi], b1[lo:hi])
+            i, j = np.nonzero(near)
+            i, j = i + s, j + lo
+            keep = ai[i] != bi[j]
+            i, j = i[keep], j[keep]
+            cuts = np.flatnonzero(np.diff(i)) + 1
+            for x, js in zip(i[np.append(0, cuts)] if len(i) else [], np.split(j, cuts), strict=False):
+                new = _merge(part, x, js + shift) - shift
+                if len(new):
+                    found.append(np.stack((np.full(len(new), ai[x]), bi[new])))
+    x, y = np.concatenate(found, axis=1)
+    return pa.table({"a": x, "b": y})
+
+
 def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
     """(a, b): links that connect all ``sets`` (id, n, w0, w1) that may be similar.
 
@@ -120,36 +149,10 @@ def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
         )
     )
 
-    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        found = [np.zeros((2, 0), np.int64)]
-        if len(a) and len(b):
-            (ai, an, a0, a1), (bi, bn, b0, b1) = _columns(a), _columns(b, "r")
-            same = len(ai) == len(bi) and bool((np.sort(ai) == np.sort(bi)).all())
-            part = np.arange(len(ai) + len(bi)) if not same else np.arange(len(ai))
-            shift = 0 if same else len(ai)
-            for s in range(0, len(ai), 64):
-                rows = slice(s, s + 64)
-                lo = np.searchsorted(bn, an[rows][0] * SIMILAR - 1e-6)
-                hi = np.searchsorted(bn, an[rows][-1] / SIMILAR + 1e-6, side="right")
-                if lo >= hi:
-                    continue
-                near = _near(an[rows], a0[rows], a1[rows], bn[lo:hi], b0[lo:hi], b1[lo:hi])
-                i, j = np.nonzero(near)
-                i, j = i + s, j + lo
-                keep = ai[i] != bi[j]
-                i, j = i[keep], j[keep]
-                cuts = np.flatnonzero(np.diff(i)) + 1
-                for x, js in zip(i[np.append(0, cuts)] if len(i) else [], np.split(j, cuts), strict=False):
-                    new = _merge(part, x, js + shift) - shift
-                    if len(new):
-                        found.append(np.stack((np.full(len(new), ai[x]), bi[new])))
-        x, y = np.concatenate(found, axis=1)
-        return pa.table({"a": x, "b": y})
-
     return (
         left.groupBy("c", "t", "oc", "ot")
         .cogroup(right.groupBy("rc", "rt", "roc", "rot"))
-        .applyInArrow(compare, "a long, b long")
+        .applyInArrow(_compare, "a long, b long")
     )
 
 

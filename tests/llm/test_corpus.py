@@ -11,6 +11,7 @@ import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -316,6 +317,19 @@ def test_similar_groups_keep_one_document(spark):
     assert simhash_groups.one_of_each(empty_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("order", [[0, 1, 2], [1, 0, 2], [2, 1, 0], [2, 0, 1]])
+def test_a_tile_meets_itself_in_any_order_of_rows(order):
+    ids, zeros = [30, 10, 20], [0] * 3
+    left = pa.table({"id": ids, "n": [50] * 3, "w0": zeros, "w1": zeros})
+    right = left.rename_columns(["rid", "rn", "rw0", "rw1"]).take(order)
+    links = simhash_groups._compare(left, right).to_pylist()
+    label = {i: i for i in ids}
+    for link in links:
+        old, new = label[link["a"]], label[link["b"]]
+        label = {i: new if c == old else c for i, c in label.items()}
+    assert len(set(label.values())) == 1 and len(links) == 2
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -330,6 +330,21 @@ def test_a_tile_meets_itself_in_any_order_of_rows(order):
     assert len(set(label.values())) == 1 and len(links) == 2
 
 
+@pytest.mark.parametrize(("common", "beyond", "far"), [(80, 31, 36), (40, 31, 40)])
+def test_similar_sets_with_unlucky_fingerprints_are_candidates(common, beyond, far):
+    rng, tried = np.random.default_rng(5), 0
+    while tried < 5:  # pairs of similarity 0.8 whose fingerprints differ in many bits
+        rows = rng.integers(0, 2**64, (common * 5 // 4, 2), dtype=np.uint64)
+        own = common // 8
+        a, b = (np.array([simhash_groups._print(x)]).T for x in (rows[: common + own], np.delete(rows, np.s_[:own], axis=0)))
+        bits = int(simhash_groups._bits(a[2], a[3], b[2], b[3])[0, 0])
+        if beyond < bits <= far:
+            tried += 1
+            left, right = (dict(zip(("id", "n", "w0", "w1"), x, strict=True)) for x in (a, b))
+            links = simhash_groups._compare(pa.table(left), pa.table({"r" + c: x for c, x in right.items()}))
+            assert len(links) == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -15,11 +15,10 @@ DEGREE, BLOCK = 30, 256
 OFFERS = 12
 #: Nodes whose surroundings one task of a round compares.
 BUCKET = 256
-#: Random splits that give the first graph; rounds of descent at most, and the share
-#: of changed edges at which it ends.
-SPLITS, ROUNDS, SETTLED = 3, 6, 0.05
-#: Nodes a search keeps, nodes it expands in a step, and steps at most.
-BEAM, STEP, STEPS = 192, 64, 4
+#: Random splits that give the first graph; the share of changed edges at which descent ends.
+SPLITS, SETTLED = 3, 0.05
+#: Nodes a search keeps, and nodes it expands in a step.
+BEAM, STEP = 192, 64
 
 
 def _stack(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
@@ -141,7 +140,7 @@ def _top(edges: DataFrame, degree: int) -> DataFrame:
     )
 
 
-def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 7) -> DataFrame:
+def graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 7) -> DataFrame:
     """(u, v, s): for each node about its ``degree`` most similar nodes, by NN-descent.
 
     A round joins, around every node, its neighbours and those it is a neighbour
@@ -174,7 +173,7 @@ def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: in
         return _edges(u, v, s)
 
     buckets = max(1, -(-count // BUCKET))
-    for _ in range(rounds):
+    while True:
         around = (
             edges.select(F.col("u").alias("center"), F.col("v").alias("member"), "fresh")
             .unionByName(edges.select(F.col("v").alias("center"), F.col("u").alias("member"), "fresh"))
@@ -210,9 +209,9 @@ def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: in
                 edges.withColumn("fresh", F.lit(False)).unionByName(better.withColumn("fresh", F.lit(True))), degree
             )
         )
+        # Lists only improve, so this comes to pass.
         if edges.where("fresh").count() <= SETTLED * count * degree:
-            break
-    return edges.select("u", "v", "s")
+            return edges.select("u", "v", "s")
 
 
 def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -240,7 +239,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     beam = checkpointed(
         asked.select("q", F.col("q").alias("v"), F.lit(2.0).cast("float").alias("s"), F.lit(False).alias("done"))
     )
-    for _ in range(STEPS):
+    while True:  # a beam only improves, so no node that left it returns and this ends
         turn = beam.withColumn("r", F.row_number().over(todo)).select(
             "q", "v", "s", "done", (~F.col("done") & (F.col("r") <= STEP)).alias("now")
         )
@@ -264,8 +263,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .drop("r")
         )
         if beam.where("not done").isEmpty():
-            break
-    return beam.select("q", "v")
+            return beam.select("q", "v")
 
 
 def nearest(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:

@@ -167,6 +167,14 @@ def test_neighbours_reach_the_recall_and_exact_scores(spark):
     assert right >= 0.9 * 5 * len(want)
 
 
+def test_neighbour_search_goes_on_to_the_end_of_a_path(spark):
+    turn = [(i, np.array([127 * np.cos(i / 20), 127 * np.sin(i / 20)]).astype(np.int8).tobytes()) for i in range(16)]
+    nodes = spark.createDataFrame(turn, "node long, vec binary")
+    edges = spark.createDataFrame([(i, i + 1, 0.9) for i in range(15)], "u long, v long, s float")
+    found = neighbours.search(nodes.where("node = 0"), nodes, edges).collect()
+    assert sorted(r["v"] for r in found) == list(range(16))
+
+
 def test_neighbours_with_odd_vectors_and_copies(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(60)]

@@ -19,6 +19,8 @@ BUCKET = 256
 SPLITS, SETTLED = 3, 0.05
 #: Nodes a search keeps, and nodes it expands in a step.
 BEAM, STEP = 192, 64
+#: Vectors of one code up to which they are scored row by row; more are scored in tiles of BLOCK.
+FEW = 8
 
 
 def _stack(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
@@ -39,7 +41,7 @@ def _scaled(x: np.ndarray) -> np.ndarray:
 
 
 def prepared(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, node, vec double array): the rows that take part; equal vectors share a node.
+    """(vec_id, own, vec double array): the rows that take part; equal vectors share ``own``.
 
     Out stay rows without vec_id, and vectors that are null, zero, hold a null or
     a non-finite component, or have another dimension than most.
@@ -56,25 +58,31 @@ def prepared(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
         rows = rows.where(F.size("vec") == common["d"])
     # Minus zero and zero are one number.
     rows = rows.withColumn("vec", F.transform("vec", lambda x: x + 0.0))
-    return rows.withColumn("node", F.xxhash64("vec"))
+    return rows.withColumn("own", F.xxhash64("vec"))
 
 
 def _coded(rows: DataFrame) -> DataFrame:
-    """(node, vec): each distinct vector once, its direction coded in a byte a component.
+    """``rows`` with code, the direction in a byte a component, and node: equal codes share one.
 
     The code serves to find neighbours; scores are of the original vectors.
     """
-    once = rows.groupBy("node").agg(F.first("vec").alias("vec"))
 
     def work(batches):
         for batch in batches:
-            x = _stack(pa.chunked_array([batch.column(1)]), np.float64)
+            x = _stack(pa.chunked_array([batch.column(2)]), np.float64)
             coded = np.rint(x / np.abs(x).max(axis=1, keepdims=True) * 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([c.tobytes() for c in coded], pa.binary())], names=["node", "vec"]
-            )
+            codes = pa.array([c.tobytes() for c in coded], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, codes], names=["vec_id", "own", "vec", "code"])
+
+    sent = rows.select("vec_id", "own", "vec")
+    coded = sent.mapInArrow(work, "vec_id long, own long, vec array<double>, code binary")
+    return coded.withColumn("node", F.xxhash64("code"))
+
 
-    return once.mapInArrow(work, "node long, vec binary")
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each row of a and of b, in double precision; equal rows give equal bits wherever they stand."""
+    a, b = _scaled(a), _scaled(b)
+    return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
 def _edges(u: list, v: list, s: list) -> pa.Table:
@@ -129,7 +137,7 @@ def _first_graph(nodes: DataFrame, count: int, degree: int, seed: int) -> DataFr
 
 def _top(edges: DataFrame, degree: int) -> DataFrame:
     """The ``degree`` best distinct edges of each u; an edge known before stays old."""
-    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), F.xxhash64("u", "v"), "v"))
     return (
         edges.repartition("u")
         .groupBy("u", "v")
@@ -222,7 +230,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     node, its 2 * DEGREE best), and keeps the best BEAM; it ends when no query
     has an unexpanded node left.
     """
-    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), F.xxhash64("u", "v"), "v"))
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "s").withColumn("r", rank)
     ways = checkpointed(edges.select("u", "v").unionByName(back.where(F.col("r") <= 2 * DEGREE).select("u", "v")).distinct())
     asked = queries.select(F.col("node").alias("q")).distinct()
@@ -266,6 +274,62 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return beam.select("q", "v")
 
 
+def _scored(asked: DataFrame, rows: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """(q, own, least, score): cosines of query vectors q and the vectors of the nodes found for them.
+
+    Vectors of nodes with few are all listed. Where many vectors share a code the
+    k + 1 best of every tile are: each query meets each tile of them.
+    """
+    held = rows.groupBy("node", "own").agg(F.first("vec").alias("vec"), F.min("vec_id").alias("least"))
+    size = F.count(F.lit(1))
+    full = checkpointed(
+        held.groupBy("node").agg(size.alias("n")).where(F.col("n") > FEW)
+        .select("node", F.ceil(F.col("n") / BLOCK).alias("tiles"))
+    )
+    asks = asked.groupBy(F.col("node").alias("at"), F.col("own").alias("q")).agg(F.first("vec").alias("qvec"))
+    asks = asks.join(found.select(F.col("q").alias("at"), F.col("v").alias("node")), "at").drop("at")
+    schema = "q long, own long, least long, score double"
+
+    def by_row(batches):
+        for batch in batches:
+            a, b = (_stack(pa.chunked_array([batch.column(i)]), np.float64) for i in (3, 4))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(_cosines(a, b))], names=["q", "own", "least", "score"])
+
+    def by_tile(some: pa.Table, tile: pa.Table) -> pa.Table:
+        out = [np.zeros((2, 0), np.int64)]
+        scores = [np.zeros(0)]
+        if len(some) and len(tile):
+            a, b = _stack(some["qvec"], np.float64), _stack(tile["vec"], np.float64)
+            least = tile["least"].to_numpy()
+            for i in range(len(a)):
+                s = _cosines(np.ascontiguousarray(np.broadcast_to(a[i], b.shape)), b)
+                top = np.lexsort((least, -s))[: k + 1]
+                out.append(np.stack((np.full(len(top), i), top))), scores.append(s[top])
+        i, j = np.concatenate(out, axis=1)
+        pick = lambda t, c, x: t[c].to_numpy()[x] if len(x) else np.zeros(0, np.int64)
+        return pa.table(
+            {"q": pick(some, "q", i), "own": pick(tile, "own", j), "least": pick(tile, "least", j), "score": np.concatenate(scores)}
+        )
+
+    if full.isEmpty():
+        pairs = asks.join(held, "node")
+        return pairs.select("q", "own", "least", "qvec", "vec").mapInArrow(by_row, schema)
+    pairs = asks.join(held.join(full, "node", "left_anti"), "node")
+    rowwise = pairs.select("q", "own", "least", "qvec", "vec").mapInArrow(by_row, schema)
+    many = asks.join(full, "node")
+    parts = many.groupBy("node").agg(F.ceil(size / BLOCK).alias("parts"))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    left = many.join(parts, "node").withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts"))).withColumn("tile", every("tiles"))
+    right = held.join(full, "node").join(parts, "node")
+    right = right.withColumn("tile", F.pmod(F.xxhash64("own"), F.col("tiles"))).withColumn("part", every("parts"))
+    tiled = (
+        left.select("node", "tile", "part", "q", "qvec").groupBy("node", "tile", "part")
+        .cogroup(right.select("node", "tile", "part", "own", "least", "vec").groupBy("node", "tile", "part"))
+        .applyInArrow(by_tile, schema)
+    )
+    return rowwise.unionByName(tiled)
+
+
 def nearest(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest rows found for the rows ``chosen`` picks.
 
@@ -275,34 +339,23 @@ def nearest(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:
     than ``k`` are all returned; rows that ``prepared`` leaves out take no part;
     an empty table gives an empty result.
 
-    Equal vectors are one node, however many rows hold them, with the ``k + 1``
-    smallest vec_ids as its members: more of them can never be among the ``k``
-    nearest, as a query itself is at most one of them.
+    Vectors of equal code are one node, and all of them are scored when it is
+    found. Rows of equal vectors are scored once, with the ``k + 1`` smallest
+    vec_ids as members: more of them can never be among the ``k`` nearest, as a
+    query itself is at most one of them.
     """
-    rows = checkpointed(prepared(vectors).distinct())
-    nodes = checkpointed(_coded(rows))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
-    members = rows.select("node", "vec_id").withColumn("r", rank).where(F.col("r") <= k + 1).drop("r")
-    queries = rows.where(chosen).select(F.col("vec_id").alias("query_id"), "node")
-    found = search(queries, nodes, graph(nodes))
-    originals = rows.groupBy("node").agg(F.first("vec").alias("vec"))
-
-    def score(batches):
-        for batch in batches:
-            a, b = (_scaled(_stack(pa.chunked_array([batch.column(i)]), np.float64)) for i in (2, 3))
-            s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], names=["q", "v", "score"])
-
-    left, right = (originals.select(F.col("node").alias(n), F.col("vec").alias(n + "vec")) for n in "qv")
-    scored = (
-        found.join(left, "q").join(right, "v").select("q", "v", "qvec", "vvec").mapInArrow(score, "q long, v long, score double")
-    )
-    candidates = (
-        queries.join(scored, queries["node"] == scored["q"])
-        .select("query_id", F.col("v").alias("node"), "score")
-        .join(members, "node")
-        .where("vec_id != query_id")
-    )
+    rows = checkpointed(_coded(prepared(vectors).distinct()))
+    nodes = checkpointed(rows.groupBy("node").agg(F.first("code").alias("vec")))
+    rank = F.row_number().over(Window.partitionBy("own").orderBy("vec_id"))
+    members = rows.select("own", "vec_id").withColumn("r", rank).where(F.col("r") <= k + 1).drop("r")
+    asked = rows.where(chosen)
+    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("own").alias("q"))
+    found = checkpointed(search(asked.select("node"), nodes, graph(nodes)))
+    scored = _scored(asked, rows, found, k)
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "least")
+    # The k nearest rows are of the k + 1 nearest vectors, as one may hold but the query itself.
+    scored = scored.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
+    candidates = queries.join(scored, "q").join(members, "own").where("vec_id != query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         candidates.groupBy("query_id", "vec_id")

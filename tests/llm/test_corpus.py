@@ -175,6 +175,24 @@ def test_neighbour_search_goes_on_to_the_end_of_a_path(spark):
     assert sorted(r["v"] for r in found) == list(range(16))
 
 
+def test_neighbours_among_many_vectors_of_one_code(spark):
+    rng = np.random.default_rng(2)
+    base = np.array([127, 60, -30, 90, 10, -100, 44, 3]) / 127
+    rows = [(i, rng.standard_normal(8)) for i in range(200)]
+    rows += [(i, base * (1 + 1e-4 * rng.standard_normal(8))) for i in range(200, 800)]  # one code or nearly
+    double = np.roll(base, 3)
+    rows += [(i, double * 2.0 ** (i % 400 - 200)) for i in range(1199, 799, -1)]  # one direction, exact ties
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>")
+    scaled = [(i, x / np.abs(x).max() if i < 800 else double) for i, x in rows]
+    want = brute(scaled, lambda v: v % 50 == 0)
+    got = defaultdict(list)
+    for r in neighbours.nearest(frame, neighbours.F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q, near in want.items():
+        if q >= 200:
+            assert [v for v, _ in got[q]] == [v for _, v in near]
+
+
 def test_neighbours_with_odd_vectors_and_copies(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(60)]

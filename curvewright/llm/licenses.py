@@ -71,12 +71,15 @@ def _shingled(texts: DataFrame, keep: list[str], shingle: int) -> DataFrame:
 
 
 def templates(spark: SparkSession, notices=TEMPLATES, shingle: int = SHINGLE) -> DataFrame:
-    """(template, license, h, n): the distinct shingles of every notice, n of them."""
+    """(template, license, h, turn, n): the distinct shingles of every notice, n of them.
+
+    turn is a shingle's place in the notice, null if it has several.
+    """
     frame = spark.createDataFrame(list(notices), "template string, license string, text string")
     exploded = (
         _shingled(frame, ["template", "license"], shingle)
-        .select("template", "license", "h")
-        .distinct()
+        .groupBy("template", "license", "h")
+        .agg(F.when(F.count(F.lit(1)) == 1, F.min("pos")).alias("turn"))
     )
     return exploded.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("template")))
 
@@ -99,9 +102,12 @@ def scan(
     whole in a window. Only shingles that some notice has can agree with one, so
     the others go first, by a join with the notices' shingles; then windows are
     signed, retrieve notices by equal bands, and are kept if they hold at least
-    ``contained`` of a notice's distinct shingles, counted exactly. Of
-    overlapping windows that hold the same notice the fullest, then first,
-    stays.
+    ``contained`` of a notice's distinct shingles, counted exactly.
+
+    Finds are the occurrences in these windows: the notice's shingles by
+    position, cut where their order starts again. Where the words are in another
+    order, so that no such stretch holds enough, windows without a half in common
+    are the finds.
 
     The notices are a fixed list in memory: that bounds what is broadcast.
     """
@@ -120,30 +126,64 @@ def scan(
         .select("key", "h", "pos", F.col("x.w").alias("w"), F.explode(F.array(F.col("x.half"), F.col("x.half") - 1)).alias("at"))
         .where("at >= 0")
         .groupBy("key", "w", "at")
-        .agg(F.collect_set("h").alias("hs"), F.min("pos").alias("start"))  # at most w shingles
+        .agg(F.collect_list(F.struct("pos", "h")).alias("items"))  # at most w shingles
+        .withColumn("hs", F.array_distinct("items.h"))
     )
     signed = windows.select("*", F.explode(_bands(F.col("hs"), bands)).alias("b")).select(
-        "key", "w", "at", "hs", "start", "b.band", "b.value"
+        "key", "w", "at", "hs", "items", "b.band", "b.value"
     )
     notice = known.withColumn("w", width).groupBy("template", "license", "w", "n").agg(F.collect_set("h").alias("ts"))
     signs = notice.select("*", F.explode(_bands(F.col("ts"), bands)).alias("b")).select(
         "template", "license", "w", "n", "ts", "b.band", "b.value"
     )
     share = F.size(F.array_intersect("hs", "ts")) / F.col("n")
-    best = Window.partitionBy("key", "template", "first").orderBy(F.desc("containment"), "start")
-    return (
+    full = stored(
         signed.join(F.broadcast(signs), ["w", "band", "value"])
         .withColumn("containment", share)
         .where(F.col("containment") >= contained)
-        .select("key", "template", "license", "w", "at", "start", "containment")
-        .distinct()
-        # Two windows that overlap share a half: the run of neighbouring windows is one find.
+        .select("key", "template", "license", "n", "w", "at", "containment", "items")
+        .dropDuplicates(["key", "template", "at"]),
+        "license-windows",
+    )
+    items = full.select("key", "template", "license", "n", "w", F.explode("items").alias("x"))
+    items = items.select("key", "template", "license", "n", "w", "x.pos", "x.h").distinct()
+    items = items.join(F.broadcast(known.select("template", "h", "turn")), ["template", "h"])
+    along = Window.partitionBy("key", "template").orderBy("pos")
+    before = F.last("turn", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    again = F.coalesce(F.col("turn") <= before, F.lit(False)) | (F.col("pos") - F.lag("pos", 1).over(along) > F.col("w"))
+    in_order = (
+        items.withColumn("again", F.coalesce(again, F.lit(False)).cast("int"))
+        .withColumn("run", F.sum("again").over(along))
+        .groupBy("key", "template", "license", "n", "run")
+        .agg(F.min("pos").alias("start"), F.max("pos").alias("end"), F.count_distinct("h").alias("held"))
+        .withColumn("containment", F.col("held") / F.col("n"))
+        .where(F.col("containment") >= contained)
+        .select("key", "template", "license", "start", "end", "containment")
+    )
+    in_order = stored(in_order, "license-runs")
+    # The windows that no such find touches.
+    half = F.expr("w div 2")
+    spans = full.withColumn("from", F.col("at") * half).withColumn("to", (F.col("at") + 2) * half - 1)
+    touched = in_order.join(full.select("key", "template", "w").distinct(), ["key", "template"])
+    touched = touched.select("key", "template", F.explode(F.sequence(F.expr("start div (w div 2)"), F.expr("end div (w div 2)"))).alias("h"))
+    touched = touched.select("key", "template", F.explode(F.array(F.col("h"), F.col("h") - 1)).alias("at")).distinct()
+    own = F.array_sort(
+        F.transform(
+            F.filter("items", lambda x: F.array_contains("ts", x["h"])), lambda x: x["pos"]
+        )
+    )
+    rest = (
+        spans.join(touched, ["key", "template", "at"], "left_anti")
+        .join(F.broadcast(notice.select("template", "ts")), "template")
+        .withColumn("own", own)
         .withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("key", "template").orderBy("at")))
-        .withColumn("first", F.col("run"))
-        .withColumn("r", F.row_number().over(best))
-        .where("r = 1")
-        .select("key", "template", "license", "start", "containment")
+        .withColumn("r", F.row_number().over(Window.partitionBy("key", "template", "run").orderBy("at")))
+        .where("r % 2 = 1")
+        .select(
+            "key", "template", "license", F.element_at("own", 1).alias("start"), F.element_at("own", -1).alias("end"), "containment"
+        )
     )
+    return in_order.unionByName(rest).select("key", "template", "license", "start", "containment")
 
 
 def documents_with_licenses(docs: DataFrame, **options) -> DataFrame:

@@ -183,3 +183,18 @@ def test_licenses_are_found_and_nothing_else(spark):
         want = {name for t, name, x in licenses.TEMPLATES if len(own & shingles(x)) >= 0.8 * len(shingles(x))}
         assert set(filter(None, got[i]["licenses"].split(","))) == want, (i, text[:80] if text else text)
     assert got[6]["n_notices"] >= 2 and got[7]["licenses"] == ""
+
+
+def test_every_occurrence_of_a_notice_is_a_find(spark):
+    notice = dict((t, x) for t, _, x in licenses.TEMPLATES)["mpl2-notice"]
+    filler = "x y z " * 20
+    parts = notice.split()
+    turned = " ".join(parts[20:] + parts[:20])
+    texts = [(notice + " " + filler) * 9, notice + " " + notice, turned, filler + notice]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.documents_with_licenses(docs).collect()}
+    length = len(parts)
+    starts = [[i * (length + 60) for i in range(9)], [0, length], [0], [60]]
+    for i, want in enumerate(starts):
+        found = [int(x.split(":")[1]) for x in got[i]["templates"].split(",")]
+        assert found == want and got[i]["n_notices"] == len(want), (i, got[i])

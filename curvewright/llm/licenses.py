@@ -30,6 +30,21 @@ TEMPLATES = (
     ("gpl2-notice", "GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms "
      "of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
      "or (at your option) any later version."),
+    ("agpl3-notice", "AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms "
+     "of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("lgpl2.1-notice", "LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the "
+     "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+     "the License, or (at your option) any later version."),
+    ("lgpl3-notice", "LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms "
+     "of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("isc-notice", "ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+     "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+     "copies."),
+    ("unlicense-notice", "Unlicense", "This is free and unencumbered software released into the public domain. Anyone is "
+     "free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+     "compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("bsd-line", "BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the "
      "LICENSE file."),
     ("bsd-notice", "BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are "
@@ -183,7 +198,23 @@ def scan(
             "key", "template", "license", F.element_at("own", 1).alias("start"), F.element_at("own", -1).alias("end"), "containment"
         )
     )
-    return in_order.unionByName(rest).select("key", "template", "license", "start", "containment")
+    finds = stored(in_order.unionByName(rest), "license-finds")
+    # Of notices that cover the same words, half of the shorter find at least, the one held best stays.
+    wide = widths[-1] if widths else 1
+    celled = finds.withColumn("cell", F.explode(F.sequence(F.expr(f"start div {wide}"), F.expr(f"end div {wide}"))))
+    a, b = celled.alias("a"), celled.alias("b")
+    common = F.least("a.end", "b.end") - F.greatest("a.start", "b.start") + 1
+    shorter = F.least(F.expr("a.end - a.start"), F.expr("b.end - b.start")) + 1
+    worse = a.join(
+        b,
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.cell") == F.col("b.cell"))
+        & (F.col("a.template") != F.col("b.template")) & (F.col("b.containment") > F.col("a.containment"))
+        & (2 * common >= shorter),
+    )
+    worse = worse.select("a.key", "a.template", "a.start").distinct()
+    return finds.join(worse, ["key", "template", "start"], "left_anti").select(
+        "key", "template", "license", "start", "containment"
+    )
 
 
 def documents_with_licenses(docs: DataFrame, **options) -> DataFrame:

@@ -198,3 +198,12 @@ def test_every_occurrence_of_a_notice_is_a_find(spark):
     for i, want in enumerate(starts):
         found = [int(x.split(":")[1]) for x in got[i]["templates"].split(",")]
         assert found == want and got[i]["n_notices"] == len(want), (i, got[i])
+
+
+def test_the_notice_held_best_is_the_find(spark):
+    names = ["gpl2-notice", "gpl3-notice", "agpl3-notice", "lgpl2.1-notice", "lgpl3-notice", "isc-notice", "unlicense-notice"]
+    known = {t: (name, x) for t, name, x in licenses.TEMPLATES}
+    docs = spark.createDataFrame([(i, "x y z " * 20 + known[t][1] + " x y z" * 20) for i, t in enumerate(names)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.documents_with_licenses(docs).collect()}
+    for i, t in enumerate(names):
+        assert (got[i]["licenses"], got[i]["n_notices"]) == (known[t][0], 1), got[i]

@@ -181,39 +181,19 @@ def _one_accepted(tied: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def flag_repeats(
-    events: DataFrame, eligible: Column, ttl_seconds: int = 3600, earlier: DataFrame | None = None
-) -> DataFrame:
+def flag_repeats(events: DataFrame, eligible: Column, ttl_seconds: int = 3600) -> DataFrame:
     """Add ``is_repeat``; rows where ``eligible`` is false take no part.
 
     Right also for rows that are equal in everything: one of them is accepted.
-    ``earlier`` optionally carries (event_id, anchor_ms) of what was accepted
-    before: arrivals up to a time to live after such an anchor, late ones
-    included, are repeats.
     """
     columns = events.columns
-    known = F.lit(False)
-    if earlier is not None:
-        # Rows that take no part get keys of their own, or one empty id would gather them.
-        key = F.when(eligible, F.concat(F.lit("+"), "event_id")).otherwise(
-            F.concat_ws("-", F.lit(""), F.col("arrival_seq").cast("string"), F.xxhash64("trace_id"))
-        )
-        anchors = earlier.select(F.concat(F.lit("+"), "event_id").alias("_key"), "anchor_ms")
-        known = F.coalesce(F.unix_millis("received_at") < F.col("anchor_ms") + ttl_seconds * 1000, F.lit(False))
-        events = (
-            events.withColumn("_key", key)
-            .join(anchors, "_key", "left")
-            .withColumn("_known", known & eligible)
-            .select(*columns, "_known")
-        )
-        known, eligible = F.col("_known"), eligible & ~F.col("_known")
     found = repeats(events.where(eligible), ttl_seconds)
     flagged = (
         events.join(found, KEY, "left")
         .withColumn("_hit", eligible & F.col("copies").isNotNull())
         .withColumn("_tied", F.col("_hit") & (F.col("copies") > F.col("repeated")))
     )
-    plain = [*columns, F.coalesce(known | F.col("_hit"), F.lit(False)).alias("is_repeat")]
+    plain = [*columns, F.coalesce("_hit", F.lit(False)).alias("is_repeat")]
     if found.where("copies > repeated").isEmpty():
         return flagged.select(*plain)
     single = flagged.where(~F.coalesce("_tied", F.lit(False))).select(*plain)

@@ -87,7 +87,12 @@ def snapshots(curves: DataFrame, threshold: float = SNAPSHOT_COMPLETENESS) -> Da
     Tenors are never forgotten, so once complete enough an instrument is
     rewritten by each event: the stored state is that of the last one.
     """
-    whole = latest_prices(curves).groupBy("instrument").agg(
+    return assembled(latest_prices(curves), threshold)
+
+
+def assembled(latest: DataFrame, threshold: float = SNAPSHOT_COMPLETENESS) -> DataFrame:
+    """Snapshots of instruments from their latest prices."""
+    whole = latest.groupBy("instrument").agg(
         F.array_sort(
             F.collect_list(F.struct("tenor", "price", "quality_score", "last_updated"))
         ).alias("tenors"),

@@ -264,15 +264,14 @@ FROM w_gold
 """)
 def gold_merge(st: Stages):
     path = fresh_path(st.spark, "gold")
-    columns = ["curve_name", "as_of", "curve_date", "version", "front_price"]
-    keyed = upserts.staged(st.gold.select(*columns), fresh_path(st.spark, "staging"))
+    keyed = upserts.staged(st.gold, fresh_path(st.spark, "staging"))
     first = keyed.where(F.dayofmonth("as_of") <= 20).withColumn("history", F.lit("once"))
     again = keyed.where(F.dayofmonth("as_of") > 10).withColumn(
         "history", F.when(F.dayofmonth("as_of") <= 20, "rewritten").otherwise("once")
     )
-    upserts.merge_gold(first, path, fresh_path(st.spark, "staging"))
-    upserts.merge_gold(again, path, fresh_path(st.spark, "staging"))
-    return st.spark.read.parquet(path).select(
+    upserts.merge_gold(first, path)
+    upserts.merge_gold(again, path)
+    return upserts.gold_table(st.spark, path).read().select(
         "curve_name", "as_of", "version", r6("front_price"), "history"
     )
 

@@ -1,8 +1,8 @@
 """Idempotent loads into Parquet tables partitioned by day.
 
-Portable upserts: only the days a batch touches are read and, for Gold,
-overwritten; one writer per table. With a transactional table format the same
-keys go into its MERGE.
+Portable upserts, one writer per table: Silver appends ids of the days a batch
+touches, Gold appends segments that a reader merges. With a transactional table
+format the same keys go into its MERGE.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from curvewright.sources.log_table import LogTable, newest
+
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when nothing has been written there yet."""
@@ -75,31 +77,22 @@ def merge_counts(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
     )
 
 
-def merged(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Table contents after the upsert: the batch wins on (curve_name, as_of)."""
-    if existing is None:
-        return batch
-    return existing.join(batch.select(*GOLD_KEY), GOLD_KEY, "left_anti").unionByName(batch)
+def gold_table(spark: SparkSession, path: str) -> LogTable:
+    """Gold: the latest snapshot of each (curve_name, as_of), by day."""
+    return LogTable(spark, path, newest(GOLD_KEY), day="curve_date")
 
 
-def merge_gold(batch: DataFrame, path: str, staging: str) -> dict[str, int]:
-    """Upsert snapshots; returns inserted and updated counts.
+def merge_gold(batch: DataFrame, path: str, epoch: int | None = None) -> dict[str, int]:
+    """Upsert snapshots; returns inserted and updated counts, none for a repeated epoch.
 
-    The affected days are written to ``staging`` first, because a table cannot
-    be overwritten while it is read; the copy then replaces those days.
+    Only the batch is written; of what was there before, the keys of the days it
+    touches are read. See :mod:`curvewright.sources.log_table`.
     """
-    spark = batch.sparkSession
-    batch = staged(batch, f"{staging}/batch")
-    existing = existing_table(spark, path)
-    if existing is not None:
-        existing = existing.where(F.col("curve_date").isin(_days(batch, "curve_date")))
-    counts = merge_counts(existing, batch).first().asDict()
-    (
-        staged(merged(existing, batch), f"{staging}/merged")
-        .hint("rebalance", F.col("curve_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("curve_date")
-        .parquet(path)
-    )
-    return counts
+    table = gold_table(batch.sparkSession, path)
+    before = table.manifest()["version"]
+    written = table.append(batch, epoch)
+    if written is None:
+        return {"inserted": 0, "updated": 0}
+    days = [f"curve_date={day}" for day in _days(written, "curve_date")]
+    existing = table.read(before, days) if before else None
+    return merge_counts(existing, written).first().asDict()

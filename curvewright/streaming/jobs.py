@@ -4,8 +4,8 @@ Each job reads the table the previous one writes. Results of a micro-batch go
 to a folder of their own epoch, written once: a repeated epoch finds them and
 leaves them, so the next job, which may have read them, sees no file twice.
 
-Repeats are decided against a carried table of anchors, without a watermark: a
-row that arrives late is decided like any other and has an outcome.
+Repeats are decided against keyed state, without a watermark: a row that arrives
+late is decided like any other and has an outcome.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curvewright.operators import gold, normalise, validate
-from curvewright.operators.dedup import flag_repeats
 from curvewright.schemas import CURVE_EVENT
-from curvewright.sources import topics, upserts
+from curvewright.sources import files, topics, upserts
 from curvewright.sources.tables import silver_rows
-from curvewright.streaming.state import CarriedTable
+from curvewright.streaming.state import CarriedTable, data_driven, flag_repeats_keyed
 
 
 def _start(stream: DataFrame, work, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -29,9 +28,13 @@ def _start(stream: DataFrame, work, checkpoint: str, every: str | None) -> Strea
 
 
 def _epoch_write(rows: DataFrame, path: str, epoch: int) -> DataFrame:
-    """Write an epoch's rows unless they are there, and go on from the written ones."""
+    """Write an epoch's rows unless they are all there, and go on from the written ones.
+
+    The writer leaves its marker last: a folder without one is what a job that
+    died left, and is written anew.
+    """
     folder = f"{path}/epoch={epoch}"
-    if upserts.existing_table(rows.sparkSession, folder) is None:
+    if not files.exists(rows.sparkSession, f"{folder}/_SUCCESS"):
         rows.write.mode("overwrite").parquet(folder)
     return rows.sparkSession.read.parquet(folder)
 
@@ -45,16 +48,13 @@ def table_stream(spark: SparkSession, path: str, schema, files: int | None = Non
 
 
 class _Validation:
-    """What a micro-batch of raw events goes through."""
+    """What a micro-batch of events goes through once repeats are flagged."""
 
-    def __init__(self, spark: SparkSession, root: str, ttl_seconds: int, window: int, forget_seconds: int):
-        self.root, self.ttl, self.window, self.forget = root, ttl_seconds, window, forget_seconds
+    def __init__(self, spark: SparkSession, root: str, window: int):
+        self.root, self.window = root, window
         self.scores = CarriedTable(spark, f"{root}/state/scores", "provider")
-        self.anchors = CarriedTable(spark, f"{root}/state/anchors", "event_id")
 
-    def run(self, events: DataFrame, letters: DataFrame | None, epoch: int) -> None:
-        sound = F.col("structure_category").isNull()
-        flagged = flag_repeats(validate.apply_rules(events), sound, self.ttl, self.anchors.before(epoch))
+    def run(self, flagged: DataFrame, letters: DataFrame | None, epoch: int) -> None:
         outcomes = _epoch_write(validate.resolve(flagged), f"{self.root}/outcomes", epoch)
         _epoch_write(validate.validated_events(outcomes), f"{self.root}/validated", epoch)
         dead = validate.dead_letters(outcomes)
@@ -63,12 +63,6 @@ class _Validation:
             validate.scored_events(outcomes), self.window, start=self.scores.before(epoch)
         )
         self.scores.save(validate.rolling_carry(rolled), epoch)
-        unsound = F.coalesce("category", F.lit("")).isin("missing_required_field", "schema_violation")
-        accepted = outcomes.where((F.col("outcome") != "duplicate") & ~unsound)
-        anchors = accepted.groupBy("event_id").agg(F.max(F.unix_millis("received_at")).alias("anchor_ms"))
-        newest = accepted.agg(F.max(F.unix_millis("received_at"))).first()[0]
-        keep = None if newest is None else F.col("anchor_ms") > newest - (self.ttl + self.forget) * 1000
-        self.anchors.save(anchors, epoch, keep)
 
 
 def validation_job(
@@ -81,11 +75,14 @@ def validation_job(
 ) -> StreamingQuery:
     """Raw events -> ``outcomes`` (all rows), ``validated``, ``dlq`` and provider scores.
 
-    Anchors are forgotten ``forget_seconds`` after their time to live by the
-    feed's own clock; a copy that comes later still is accepted anew.
+    Anchors are keyed state and expire ``forget_seconds`` after their time to
+    live by processing time; a copy that comes later still is accepted anew.
     """
-    steps = _Validation(raw.sparkSession, root, ttl_seconds, window, forget_seconds)
-    return _start(raw, lambda batch, epoch: steps.run(batch, None, epoch), f"{root}/checkpoints/validation", every)
+    steps = _Validation(raw.sparkSession, root, window)
+    sound = F.col("structure_category").isNull()
+    flagged = flag_repeats_keyed(validate.apply_rules(raw), sound, ttl_seconds, forget_seconds)
+    with data_driven(raw.sparkSession):
+        return _start(flagged, lambda batch, epoch: steps.run(batch, None, epoch), f"{root}/checkpoints/validation", every)
 
 
 def intake_job(
@@ -101,13 +98,21 @@ def intake_job(
     A replay topic is one more name in the reader's list of topics; its
     admission is the reader's ``per_trigger``.
     """
-    steps = _Validation(messages.sparkSession, root, ttl_seconds, window, forget_seconds)
+    steps = _Validation(messages.sparkSession, root, window)
+    broken = F.col("error").isNotNull()
+    everything = topics.decode_all(messages).withColumn("value", F.when(broken, F.col("value")))
+    sound = F.col("structure_category").isNull() & ~broken
+    flagged = flag_repeats_keyed(validate.apply_rules(everything), sound, ttl_seconds, forget_seconds)
 
     def work(batch: DataFrame, epoch: int) -> None:
-        events, broken = topics.decode(batch)
-        steps.run(events, validate.undecodable_letters(broken), epoch)
+        # Read twice below: state must be computed once in a micro-batch.
+        batch = batch.persist()
+        letters = batch.where(broken).select("value", "error", "received_at", "arrival_seq")
+        steps.run(batch.where(~broken).drop("value", "error"), validate.undecodable_letters(letters), epoch)
+        batch.unpersist()
 
-    return _start(messages, work, f"{root}/checkpoints/validation", every)
+    with data_driven(messages.sparkSession):
+        return _start(flagged, work, f"{root}/checkpoints/validation", every)
 
 
 def normalisation_job(validated: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
@@ -147,7 +152,7 @@ def gold_job(
         windows = gold.with_expected(gold.window_rows(closed), earlier=expected.before(epoch))
         gated = gold.gate(gold.assemble(windows))
         rows = gold.snapshot_rows(gold.with_shape(gold.loadable(gated, write_non_authoritative)))
-        upserts.merge_gold(rows, f"{root}/gold", f"{root}/staging/gold/{epoch}")
+        upserts.merge_gold(rows, f"{root}/gold", epoch)
         expected.save(
             windows.groupBy("curve_name").agg(F.max("expected_tenors").alias("expected_tenors")),
             epoch,

@@ -109,9 +109,10 @@ def test_gold_merge_updates_and_keeps_other_days(spark, tmp_path):
         return gold.gold_table(curves(spark, made))
 
     path = str(tmp_path / "gold")
-    assert upserts.merge_gold(rows({0: 1, 1: 2}), path, str(tmp_path / "s1")) == {"inserted": 2, "updated": 0}
-    assert upserts.merge_gold(rows({1: 5, 2: 6}), path, str(tmp_path / "s2")) == {"inserted": 1, "updated": 1}
-    got = [r[0] for r in spark.read.parquet(path).orderBy("as_of").select("front_price").collect()]
+    assert upserts.merge_gold(rows({0: 1, 1: 2}), path, 0) == {"inserted": 2, "updated": 0}
+    assert upserts.merge_gold(rows({1: 5, 2: 6}), path, 1) == {"inserted": 1, "updated": 1}
+    assert upserts.merge_gold(rows({1: 9, 4: 6}), path, 1) == {"inserted": 0, "updated": 0}
+    got = [r[0] for r in upserts.gold_table(spark, path).read().orderBy("as_of").select("front_price").collect()]
     assert got == [1.0, 5.0, 6.0]
 
 

@@ -15,11 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from curvewright.llm.common import query, raw_bytes, table, text_map
+from curvewright.llm.common import query, raw_bytes, stored, table, text_map
 from curvewright.llm.transducer import Transducer, compile_words
 from curvewright.session import shared_dir
 
@@ -29,11 +29,13 @@ VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 LEXICON, LONGEST = 65_536, 64
 #: Words that a task encodes at once, and unseen ones whose merges it remembers.
 AT_ONCE, REMEMBERED = 200_000, 200_000
+#: Bytes up to which a word's pairs are scanned for each merge, and the rank of a pair without one.
+SHORT, NO_MERGE = 48, 1 << 60
 
 #: Characters on which this module's Unicode tables and the tokenizer library's agree
 #: (Latin, Greek, Cyrillic, punctuation, signs, kana, common Han, Hangul, emoji);
 #: a text with any other is normalised and split by the library.
-_AGREED = regex.compile(
+AGREED = regex.compile(
     "[\0-ԯḀ-ỿ -⁤₠-₿℀-↋←-⏿ぁ-ゖ゙-ヿ"
     "一-鿼가-힣\U0001f300-\U0001f64f]*+"
 )
@@ -68,9 +70,8 @@ class Encoder:
         vocab = model["vocab"]
         named = {i: t for t, i in (vocab | self.special).items()}
         self.tokens = pa.array([named.get(i) for i in range(max(named) + 1)], pa.string())
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+        self.merges = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [vocab[a + b] for a, b in model["merges"]]
         letters = byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + model["end_of_word_suffix"]] for c in letters]
@@ -87,7 +88,7 @@ class Encoder:
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii_pattern.findall(text.lower())
-        if _AGREED.fullmatch(text):
+        if AGREED.fullmatch(text):
             # Letters are lowered one by one, so a capital sigma never is a final one.
             return self.pattern.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
         split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
@@ -100,23 +101,44 @@ class Encoder:
             return [self.special[word]]
         data = word.encode()
         ids = [*(self.inner[b] for b in data[:-1]), self.last[data[-1]]]
-        n, merges = len(ids), self.merges
+        return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """Look at all pairs' ranks for each merge: cheapest while they are few."""
+        find, made = self.merges.get, self.made
+        ranks = [find(pair, NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            rank = min(ranks)
+            if rank == NO_MERGE:
+                break
+            at = ranks.index(rank)
+            ids[at : at + 2] = [made[rank]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = find((ids[at], ids[at + 1]), NO_MERGE)
+            if at:
+                ranks[at - 1] = find((ids[at - 1], ids[at]), NO_MERGE)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """Keep the pairs in a heap and the ids in a linked list: n log n for any length."""
+        n, merges, made = len(ids), self.merges, self.made
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
 
         def offer(at: int, right: int) -> None:
-            found = merges.get((ids[at], ids[right]))
-            if found is not None:
-                heapq.heappush(heap, (found[0], at, ids[at], ids[right], found[1]))
+            rank = merges.get((ids[at], ids[right]))
+            if rank is not None:
+                heapq.heappush(heap, (rank, at, ids[at], ids[right]))
 
         for i in range(n - 1):
             offer(i, i + 1)
         while heap:
-            _, at, left, right, made = heapq.heappop(heap)
+            rank, at, left, right = heapq.heappop(heap)
             nxt = after[at]
             if ids[at] != left or nxt >= n or ids[nxt] != right:
                 continue  # one of the two has been merged since
-            ids[at], ids[nxt] = made, -1
+            ids[at], ids[nxt] = made[rank], -1
             after[at] = after[nxt]
             if after[at] < n:
                 before[after[at]] = at
@@ -186,6 +208,18 @@ def publish(spark: SparkSession, data: bytes, name: str) -> str:
     return name
 
 
+def frequent(counts: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows of (word, n), those of highest count; of equal counts all or none.
+
+    Words are counted by their count first, so no task and not the driver ever
+    holds candidates that are not taken.
+    """
+    equal = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    so_far = F.sum("words").over(Window.orderBy(F.col("n").desc()))
+    least = equal.withColumn("so_far", so_far).where(F.col("so_far") <= size).agg(F.min("n")).first()[0]
+    return counts.where(F.lit(False) if least is None else F.col("n") >= least)
+
+
 def build_lexicon(docs: DataFrame, path: str = VOCABULARY, size: int = LEXICON) -> str:
     """Compile the ``size`` most frequent words of ``docs`` with their ids; the file's name.
 
@@ -193,8 +227,8 @@ def build_lexicon(docs: DataFrame, path: str = VOCABULARY, size: int = LEXICON)
     merged when met, so the lexicon decides on speed and never on ids. The driver
     holds the lexicon alone, at most size words of LONGEST bytes.
     """
-    short = word_counts(docs, path).where(F.octet_length("word") <= LONGEST)
-    common = short.orderBy(F.col("n").desc(), "word").limit(size).select("word").collect()
+    short = stored(word_counts(docs, path).where(F.octet_length("word") <= LONGEST), "word-counts")
+    common = frequent(short, size).select("word").collect()
     merge = encoder(read(path)).merge
     entries = sorted((row["word"].encode(), row["word"]) for row in common)
     return publish(docs.sparkSession, compile_words((key, merge(word)) for key, word in entries), "lexicon")

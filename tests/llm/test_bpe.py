@@ -67,7 +67,7 @@ def test_empty_transducer(tmp_path):
 
 def test_words_are_split_as_the_library_does():
     enc = bpe.encoder(bpe.read(bpe.VOCABULARY))
-    agreed = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and bpe._AGREED.fullmatch(chr(c))]
+    agreed = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and bpe.AGREED.fullmatch(chr(c))]
     assert len(agreed) > 30_000
     for at in range(0, len(agreed), 50):  # each character between letters and between signs
         text = " ".join(f"a{c}a !{c}! {c}Σ" for c in agreed[at : at + 50])
@@ -123,3 +123,10 @@ def test_counts_cover_all_texts(spark):
     counts = {r["word"]: r["n"] for r in bpe.word_counts(edge_docs(spark)).collect()}
     enc = bpe.encoder(bpe.read(bpe.VOCABULARY))
     assert sum(counts.values()) == sum(len(enc.words(r[1] or "")) for r in edge_rows())
+
+
+def test_frequent_words_fit_the_size_and_ties_stay_together(spark):
+    counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "word string, n long")
+    for size, want in ((0, ""), (1, "a"), (2, "a"), (3, "abc"), (4, "abcd"), (9, "abcd")):
+        assert "".join(sorted(r["word"] for r in bpe.frequent(counts, size).collect())) == want
+    assert bpe.frequent(counts.where("n > 9"), 3).collect() == []

@@ -229,9 +229,9 @@ def bronze_gaps(
     return expected.join(bronze_hours.select("provider", "hour").distinct(), ["provider", "hour"], "left_anti")
 
 
-def partition_hours(bronze: DataFrame, keys: Sequence[str] = ("provider", "dt", "hh")) -> DataFrame:
-    """Provider and hour of every Bronze partition; reads folder names only."""
-    return bronze.select(*keys).distinct().select(
+def partition_hours(manifest: DataFrame, keys: Sequence[str] = ("provider", "dt", "hh")) -> DataFrame:
+    """Provider and hour of every Bronze partition; given a manifest, no data file is opened."""
+    return manifest.select(*keys).distinct().select(
         "provider",
         F.to_timestamp(F.concat_ws(" ", "dt", "hh"), "yyyy-MM-dd HH").alias("hour"),
     )

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from curvewright.operators import alerts, monitor, serving, validate
 from curvewright.operators.quality import latency_ms
 from curvewright.plans.oracle_ctes import define
+from curvewright.plans.queries_sources import bronze_root
 from curvewright.plans.registry import query, r6
 from curvewright.plans.stages import DAY, Stages
-from curvewright.sources.tables import bronze_prefix
+from curvewright.sources import bronze
 
 HOUR = 3600
 
@@ -210,8 +211,12 @@ SELECT to_timestamp(epoch_us(received_at) // 21600000000 * 21600)::TIMESTAMP AS
 FROM w_raw GROUP BY 1
 """)
 def mon_bronze_rate(st: Stages):
-    placed = st.raw.withColumn("path", bronze_prefix(F.col("provider"), F.col("received_at")))
-    return monitor.file_rate(placed, "received_at", "path", 6 * HOUR).withColumn(
+    # Folders that a write left files in, as the manifest tells.
+    written = bronze.manifest(st.spark, bronze_root(st)).select(
+        F.to_timestamp(F.concat_ws(" ", "dt", "hh"), "yyyy-MM-dd HH").alias("hour"),
+        F.regexp_extract("path", "^(.*)/", 1).alias("folder"),
+    )
+    return monitor.file_rate(written, "hour", "folder", 6 * HOUR).withColumn(
         "per_second", F.round("per_second", 6)
     )
 

@@ -218,7 +218,7 @@ WHERE provider = 'provider-a' AND date_trunc('hour', received_at) >= TIMESTAMP '
   AND date_trunc('hour', received_at) <= TIMESTAMP '2024-01-08 18:00:00'
 """)
 def bronze_scan(st: Stages):
-    return bronze.scan_bronze(_bronze_frame(st), "provider-a", FROM, TO).select(
+    return bronze.scan_manifest(st.spark, bronze_root(st), "provider-a", FROM, TO).select(
         "arrival_seq", "received_at"
     )
 
@@ -467,14 +467,19 @@ def _now():
 _written: dict[tuple[str, str], str] = {}
 
 
-def _bronze_frame(st: Stages) -> DataFrame:
-    """The feed's Bronze, written once a session, read back by folder."""
+def bronze_root(st: Stages) -> str:
+    """The folder of the feed's Bronze, written once a session."""
     of = (st.spark.sparkContext.applicationId, st.sf_dir)
     if of not in _written:
         path = fresh_path(st.spark, "bronze")
         bronze.write_bronze(st.raw, path)
         _written[of] = path
-    return bronze.read_bronze(st.spark, _written[of])
+    return _written[of]
+
+
+def _bronze_frame(st: Stages) -> DataFrame:
+    """The feed's Bronze, read back by folder."""
+    return bronze.read_bronze(st.spark, bronze_root(st))
 
 
 @query("replay_bronze", f"""
@@ -572,11 +577,10 @@ SELECT j.job_id, j.events_to_replay, j.events_replayed, count(r.seq) AS emitted,
   j.events_replayed = j.events_to_replay AS complete
 FROM w_job j LEFT JOIN w_raw r
   ON r.provider = j.provider AND date_trunc('day', r.received_at) = j.start_time
-  AND day(j.start_time) % 5 <> 1
 GROUP BY ALL
 """)
 def replay_audit(st: Stages):
-    emitted = st.raw.where((F.col("provider") != "") & (F.dayofmonth("received_at") % 5 != 1)).select(
+    emitted = st.raw.where(F.col("provider") != "").select(
         F.concat_ws("-", F.lit("job"), "provider", F.date_format("received_at", "yyyyMMdd")).alias(
             "job_id"
         )
@@ -594,8 +598,8 @@ WHERE NOT EXISTS (SELECT 1 FROM w_raw r WHERE r.provider = p.provider
 """)
 def bronze_gap_check(st: Stages):
     # The nameless provider has no folder of its own name; its hours are not asked for.
-    hours = replay.partition_hours(_bronze_frame(st).where("provider <> '' AND provider <> '__HIVE_DEFAULT_PARTITION__'"))
-    hours = upserts.staged(hours, fresh_path(st.spark, "hours"))
+    named = bronze.manifest(st.spark, bronze_root(st)).where("provider <> '' AND provider <> '__HIVE_DEFAULT_PARTITION__'")
+    hours = replay.partition_hours(named)
     # From the first to the last hour that holds anything.
     first, last = (hours.agg(end("hour")).scalar() for end in (F.min, F.max))
     return replay.bronze_gaps(hours, hours, first, last)

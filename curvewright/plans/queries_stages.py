@@ -46,11 +46,10 @@ def val_dedup(st: Stages):
 
 @query("val_dedup_copies", """
 , f AS (
-  SELECT event_id, structure_category, received_at + to_seconds(3000 * c) AS received_at, seq * 16 + c AS pos
-  FROM w_structure, (SELECT unnest(range(10)) AS c) WHERE seq % 14 = 0
-  UNION ALL
-  SELECT event_id, structure_category, received_at, seq * 16 FROM w_structure, (SELECT unnest(range(3)) AS c)
-  WHERE seq % 14 = 2),
+  SELECT event_id, structure_category, received_at + to_seconds(CASE WHEN seq % 14 = 0 THEN 3000 * c ELSE 0 END)
+    AS received_at, seq * 16 + CASE WHEN seq % 14 = 0 THEN c ELSE 0 END AS pos
+  FROM w_structure, (SELECT unnest(range(10)) AS c)
+  WHERE c < CASE seq % 14 WHEN 0 THEN 10 WHEN 2 THEN 3 ELSE 1 END),
 g AS (SELECT DISTINCT event_id, epoch_us(received_at) // 1000 AS ms, pos, received_at
       FROM f WHERE structure_category IS NULL),
 a AS (
@@ -68,19 +67,18 @@ FROM f LEFT JOIN a ON a.event_id = f.event_id AND a.pos = f.pos
 GROUP BY f.event_id, f.pos
 """)
 def val_dedup_copies(st: Stages):
-    """Chains of copies longer than the time to live, and rows equal in everything."""
+    """The whole feed; some events come as chains of copies longer than the time to live, some as equal rows."""
     number = F.col("arrival_seq")
-    chains = st.raw.where(number % 14 == 0).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(9))))
-    chains = chains.withColumns(
+    chain = number % 14 == 0
+    copies = F.when(chain, F.sequence(F.lit(0), F.lit(9))).when(number % 14 == 2, F.array_repeat(F.lit(0), 3))
+    copied = st.raw.withColumn("c", F.explode(F.coalesce(copies, F.array(F.lit(0))))).withColumns(
         {
             "received_at": F.timestamp_micros(F.unix_micros("received_at") + F.col("c").cast("bigint") * 3_000_000_000),
             "arrival_seq": number * 16 + F.col("c"),
         }
     ).drop("c")
-    equal = st.raw.where(number % 14 == 2).withColumn("c", F.explode(F.array_repeat(F.lit(0), 3)))
-    equal = equal.withColumn("arrival_seq", number * 16).drop("c")
     return (
-        validate.validate(chains.unionByName(equal))
+        validate.validate(copied)
         .groupBy("event_id", "arrival_seq")
         .agg(F.count(F.lit(1)).alias("copies"), F.count_if(F.col("outcome") == "duplicate").alias("repeated"))
     )

@@ -1,8 +1,16 @@
-"""Bronze: every raw event, append-only, partitioned by provider, date and hour."""
+"""Bronze: every raw event, append-only, partitioned by provider, date and hour.
+
+Beside the folders lies a manifest: a row per file with its folder, rows, bytes
+and range of event times, kept at every write. What counts as written is what
+the manifest names. Gap checks and statistics read it alone, scans open the files
+it leaves, and a micro-batch that is repeated finds its epoch there.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curvewright.functions.payload import JSON_TEXT
 from curvewright.schemas import RAW_EVENT
+from curvewright.sources import files
+from curvewright.sources.log_table import SEGMENT, LogTable
 
 PARTITIONS = ("provider", "dt", "hh")
 ROWS_PER_FILE = 5_000_000
@@ -62,40 +72,144 @@ def bronze_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_bronze(raw: DataFrame, root: str) -> None:
-    """Append a batch.
+_FILE = "path string, provider string, dt string, hh string, rows long, bytes long, first_us long, last_us long, live boolean"
+
+
+def _latest_state(rows: DataFrame) -> DataFrame:
+    """A file's newest entry; files that a compaction replaced are left out."""
+    entry = F.max_by(F.struct("provider", "dt", "hh", "rows", "bytes", "first_us", "last_us", "live"), SEGMENT)
+    return rows.groupBy("path").agg(entry.alias("e")).select("path", "e.*").where("live")
+
+
+def _log(spark: SparkSession, root: str) -> LogTable:
+    # A removed file must stay removed while older segments that name it are merged: all at once.
+    return LogTable(spark, f"{root}/_manifest", _latest_state)
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Files of Bronze: path below ``root``, provider, dt, hh, rows, bytes, first_event, last_event."""
+    found = _log(spark, root).read()
+    if found is None:
+        found = spark.createDataFrame([], _FILE)
+    return found.select(
+        "path", "provider", "dt", "hh", "rows", "bytes",
+        F.timestamp_micros("first_us").alias("first_event"), F.timestamp_micros("last_us").alias("last_event"),
+    )
+
+
+def _place(rows: DataFrame, root: str, name: str) -> list[tuple]:
+    """Write rows and put their files into the folders of ``root``; the files' manifest entries.
 
     ``rebalance`` groups rows by partition folder, merges small groups and
     splits large ones by size, so a busy provider-hour neither floods one task
-    nor leaves many small files.
+    nor leaves many small files. Files arrive under ``name``: a write of that
+    name that died is replaced.
     """
+    spark, incoming = rows.sparkSession, f"{root}/_incoming/{name}"
     (
-        bronze_rows(raw)
-        .hint("rebalance", *[F.col(p) for p in PARTITIONS])
-        .write.mode("append")
+        rows.hint("rebalance", *[F.col(p) for p in PARTITIONS])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*PARTITIONS)
-        .parquet(root)
+        .parquet(incoming)
     )
+    # Footers and one column of what was just written.
+    stats = (
+        spark.read.schema(BRONZE_ROW).parquet(incoming)
+        .groupBy(F.col("_metadata.file_path").alias("path"), *PARTITIONS)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(F.unix_micros("event_timestamp")).alias("first_us"),
+            F.max(F.unix_micros("event_timestamp")).alias("last_us"),
+        )
+    )
+    known = {"/".join(unquote(r["path"]).rsplit("/", 4)[1:]): r for r in stats.collect()}
+    entries, cleaned = [], set()
+    for number, (path, size) in enumerate(files.tree(spark, incoming)):
+        if path not in known:  # a file without rows
+            continue
+        folder, r = path.rpartition("/")[0], known[path]
+        if folder not in cleaned:
+            cleaned.add(folder)
+            for old in files.names(spark, f"{root}/{folder}"):
+                if old.startswith(f"{name}-"):
+                    files.remove(spark, f"{root}/{folder}/{old}")
+        target = f"{folder}/{name}-{number:05d}.parquet"
+        files.move(spark, f"{incoming}/{path}", f"{root}/{target}")
+        entries.append((target, r["provider"], r["dt"], r["hh"], r["rows"], size, r["first_us"], r["last_us"], True))
+    files.remove(spark, incoming)
+    return entries
+
+
+def write_bronze(raw: DataFrame, root: str, epoch: int | None = None) -> None:
+    """Append a batch; one with an ``epoch`` that the manifest holds is left alone."""
+    spark = raw.sparkSession
+    log = _log(spark, root)
+    if epoch is not None and epoch <= log.manifest()["epoch"]:
+        return
+    entries = _place(bronze_rows(raw), root, f"b{uuid.uuid4().hex}" if epoch is None else f"e{epoch}")
+    log.append(spark.createDataFrame(entries, _FILE), epoch)
+
+
+def compact_bronze(spark: SparkSession, root: str, before: datetime, most_files: int = 1) -> int:
+    """Rewrite the hours before ``before`` that have more than ``most_files`` files; how many hours.
+
+    One manifest entry replaces the small files by the large ones, so readers
+    through the manifest see either; then the small ones go.
+    """
+    closed = before_hour(manifest(spark, root), before)
+    many = closed.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_files).drop("n")
+    same = [F.col(f"m.{p}").eqNullSafe(F.col(f"c.{p}")) for p in PARTITIONS]
+    small = closed.alias("m").join(many.alias("c"), same, "left_semi").collect()
+    if not small:
+        return 0
+    paths = [r["path"] for r in small]
+    entries = _place(read_files(spark, root, paths), root, f"c{uuid.uuid4().hex}")
+    gone = [(r["path"], r["provider"], r["dt"], r["hh"], r["rows"], r["bytes"], None, None, False) for r in small]
+    _log(spark, root).append(spark.createDataFrame(entries + gone, _FILE))
+    for path in paths:
+        files.remove(spark, f"{root}/{path}")
+    return len({path.rpartition("/")[0] for path in paths})
 
 
 def stream_bronze(
     raw: DataFrame, root: str, checkpoint: str, every: str | None = "30 seconds"
 ) -> StreamingQuery:
-    """Append a stream; ``every=None`` drains what is available and stops."""
-    writer = (
-        bronze_rows(raw)
-        .writeStream.format("parquet")
-        .option("path", root)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
-        .partitionBy(*PARTITIONS)
-    )
+    """Append a stream; ``every=None`` drains what is available and stops.
+
+    A micro-batch leaves as few files an hour as a batch does; :func:`compact_bronze`
+    joins those of closed hours.
+    """
+    writer = raw.writeStream.foreachBatch(lambda batch, epoch: write_bronze(batch, root, epoch))
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """The rows of chosen files."""
+    if not paths:
+        return spark.createDataFrame([], BRONZE_ROW)
+    return spark.read.schema(BRONZE_ROW).option("basePath", root).parquet(*[f"{root}/{p}" for p in paths])
+
+
+def scan_manifest(
+    spark: SparkSession, root: str, provider: str, start: datetime, end: datetime,
+    events: tuple[datetime, datetime] | None = None,
+) -> DataFrame:
+    """As :func:`scan_bronze`, opening only the files that the manifest leaves.
+
+    ``events`` also leaves out files whose event times all lie outside it.
+    """
+    found = in_hours(manifest(spark, root).where(F.col("provider") == provider), start, end)
+    if events:
+        low, high = (F.lit(_utc(at)) for at in events)
+        found = found.where((F.col("last_event") >= low) & (F.col("first_event") <= high))
+    return read_files(spark, root, [r["path"] for r in found.select("path").collect()])
+
+
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Stored rows; partition values stay text, hour "07" is not the number 7."""
     return spark.read.schema(BRONZE_ROW).parquet(root)
@@ -113,6 +227,12 @@ def in_hours(bronze: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return bronze.where(F.col("dt").between(low_day, high_day) & first & last)
 
 
+def before_hour(rows: DataFrame, at: datetime) -> DataFrame:
+    """Rows of hours that have ended by ``at``."""
+    day, hour = _utc(at).strftime("%Y-%m-%d"), _utc(at).strftime("%H")
+    return rows.where((F.col("dt") < day) | ((F.col("dt") == day) & (F.col("hh") < hour)))
+
+
 def scan_bronze(bronze: DataFrame, provider: str, start: datetime, end: datetime) -> DataFrame:
     return in_hours(bronze.where(F.col("provider") == provider), start, end)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ BASE = (
     ("hex", r"[0-9a-f]+", 24),
 )
 
+#: Items of a list that are worked off together; see _scanned.
+BLOCK = 256
 #: A candidate string, and the characters in a window of it.
 CANDIDATE, WINDOW = r"[A-Za-z0-9+/_=-]{20,}", 20
 #: Character classes of candidates, the narrowest first, and the bits per character from
@@ -23,12 +26,13 @@ CANDIDATE, WINDOW = r"[A-Za-z0-9+/_=-]{20,}", 20
 #: characters has at most log2(20) = 4.32 bits.
 CLASSES = (
     ("digits", r"^[0-9]+$", None),  # numbers are not secrets by themselves
-    ("words", r"^[A-Za-z/_=-]+$", None),  # nor are names and paths without a digit
+    ("one case", r"^([a-z/_=-]+|[A-Z/_=-]+)$", None),  # nor are names and paths in one case
+    ("letters", r"^[A-Za-z/_=-]+$", 4.0),  # random letters mix cases more evenly than names do
     ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0),
     ("alphanumeric", r"^[A-Za-z0-9]+$", 3.6),
     ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8),
 )
-#: Candidates that hold one of these are known not to be secrets (lower case).
+#: Known not to be secrets (lower case): a window that touches one is not looked at.
 ALLOWED = ("example", "placeholder", "changeme", "xxxx", "0123456789", "abcdefgh", "your_", "your-", "test_", "dummy")
 
 
@@ -46,66 +50,90 @@ def _spans(text: Column, pattern: str) -> Column:
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(groups))
     gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(
+    found = F.arrays_zip(
         _lengths(F.slice(gaps, F.lit(1), F.size(matches))).alias("gap"), matches.alias("match"), values.alias("value")
     )
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<start:bigint,end:bigint,match:string,value:string>>").alias("spans"),
-    )
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
+    def place(at: Column, x: Column) -> tuple[Column, Column]:
+        begin = at + x["gap"]
         end = begin + F.length(x["match"])
-        span = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        return end, F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match"), x["value"].alias("value"))
+
+    return _scanned(found, "struct<start:bigint,end:bigint,match:string,value:string>", place)
+
+
+def _scanned(items: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """One output per item, each from the item and a number carried along: ``step`` gives both anew.
+
+    Appending copies a list, so short lists are filled and then listed themselves.
+    """
+
+    def one(state: Column, x: Column) -> Column:
+        carried, made = step(state["at"], x)
+        return F.struct(carried.alias("at"), F.concat(state["made"], F.array(made)).alias("made"))
+
+    def block(state: Column, part: Column) -> Column:
+        inner = F.struct(state["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("made"))
+        return _bound(
+            F.aggregate(part, inner, one),
+            lambda done: F.struct(done["at"].alias("at"), F.concat(state["lists"], F.array(done["made"])).alias("lists")),
+        )
+
+    def all_blocks(whole: Column) -> Column:
+        last = F.floor((F.size(whole) - 1) / BLOCK).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(whole, b * BLOCK + 1, F.lit(BLOCK)))
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{kind}>>").alias("lists"))
+        return F.aggregate(parts, start, block, lambda s: F.flatten(s["lists"]))
+
+    return _bound(items, all_blocks)
+
 
-    return F.aggregate(zipped, start, step, lambda s: s["spans"])
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def peak_entropy(word: Column, width: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits a character, of any ``width`` characters in a row.
 
-    Counts of the window's characters are kept while it slides: one character
-    enters, one leaves, and the sum of c log2 c changes by two differences.
+    The window slides: one character enters, one leaves, and the sum of c log2 c
+    over its counts c changes by the two differences of their counts, which are
+    counted among the window's characters. A step costs the width, not the length
+    of the word; the characters are split once.
     """
     terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(width + 2)])
     term = lambda c: F.element_at(terms, c + 1)
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(1e9).alias("least"))
+
+    def least(chars: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            entering = F.element_at(chars, i)
+            first = F.greatest(i - width, F.lit(1))
+            before = F.slice(chars, first, F.least(i - 1, F.lit(width)))
+            times = F.size(F.filter(before, lambda c: c == entering))
+            grown = state["sum"] + term(times + 1) - term(times)
+            # The window is one too wide now: its first character leaves.
+            leaving = F.element_at(chars, first)
+            held = F.size(F.filter(before, lambda c: c == leaving)) + (leaving == entering).cast("int")
+            total = F.when(i > width, grown + term(held - 1) - term(held)).otherwise(grown)
+            full = F.when(i >= width, F.least(state["least"], total)).otherwise(state["least"])
+            return F.struct(total.alias("sum"), full.alias("least"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda s: s["least"])
+
     chars = F.transform(F.split(word, ""), lambda c: F.ascii(c))
-    start = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(1e9).alias("least")
-    )
+    return F.lit(math.log2(width)) - _bound(chars, least) / width
 
-    def step(state: Column, i: Column) -> Column:
-        entering = F.element_at(chars, i)
-        leaving = F.when(i > width, F.element_at(chars, F.greatest(i - width, F.lit(1)))).otherwise(-1)
-        old_in = F.element_at(state["counts"], entering + 1)
-        # The entering character is counted first; a leaving equal one then takes it back.
-        old_out = F.when(leaving < 0, 1).otherwise(
-            F.element_at(state["counts"], F.greatest(leaving, F.lit(0)) + 1) + (leaving == entering).cast("int")
-        )
-        total = state["sum"] + term(old_in + 1) - term(old_in) + term(old_out - 1) - term(old_out)
-        counts = F.transform(
-            state["counts"],
-            lambda c, j: c + (j == entering).cast("int") - (j == leaving).cast("int"),
-        )
-        full = F.when(i >= width, F.least(state["least"], total)).otherwise(state["least"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), full.alias("least"))
 
-    least = F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda s: s["least"])
-    return F.lit(math.log2(width)) - least / width
+def _flagged(word: Column) -> Column:
+    """Whether a stretch of a candidate between words of the allow list is random enough for its class."""
 
+    def random(part: Column) -> Column:
+        limit = F.lit(None).cast("double")
+        for _, pattern, bits in reversed(CLASSES):
+            limit = F.when(part.rlike(pattern), F.lit(bits).cast("double")).otherwise(limit)
+        return F.when((F.length(part) >= WINDOW) & limit.isNotNull(), peak_entropy(part) >= limit).otherwise(False)
 
-def _flagged(word: Column) -> Column:
-    """Whether a candidate is random enough for its class and not on the allow list."""
-    limit = F.lit(None).cast("double")
-    for _, pattern, bits in reversed(CLASSES):
-        limit = F.when(word.rlike(pattern), F.lit(bits).cast("double")).otherwise(limit)
-    lowered = F.lower(word)
-    allowed = F.lit(False)
-    for known in ALLOWED:
-        allowed = allowed | lowered.contains(known)
-    return F.when(limit.isNotNull() & ~allowed, peak_entropy(word) >= limit).otherwise(False)
+    return F.exists(F.split(word, "(?i)" + "|".join(ALLOWED), -1), random)
 
 
 def _joined(spans: Column) -> Column:
@@ -139,11 +167,21 @@ def scan(docs: DataFrame) -> DataFrame:
         columns[kind] = F.when(here, _base_spans(F.col("t"), kind, place, pattern, least)).otherwise(none)
     base = docs.select("doc_id", text.alias("t")).withColumns(columns)
     base = base.withColumn("base", F.array_sort(F.concat(*[F.col(k) for k, _, _ in BASE])))
-    outside = lambda x: ~F.exists(
-        "base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])
+    # In order of starts, a candidate lies in a base span if one so far ends at or after its end.
+    both = F.array_sort(
+        F.concat(
+            F.transform("base", lambda x: _ordered(x["start"], 0, x["end"], F.lit(""))),
+            F.transform(_spans(F.col("t"), CANDIDATE), lambda x: _ordered(x["start"], 1, x["end"], x["value"])),
+        )
     )
-    candidates = F.filter(_spans(F.col("t"), CANDIDATE), outside)
-    found = F.transform(F.filter(candidates, lambda x: _flagged(x["value"])), lambda x: _span("entropy", len(BASE), x))
+
+    def reach(furthest: Column, x: Column) -> tuple[Column, Column]:
+        is_base = x["second"] == 0
+        outside = F.when(~is_base & (furthest < x["end"]), x)
+        return F.when(is_base, F.greatest(furthest, x["end"])).otherwise(furthest), outside
+
+    candidates = F.filter(_scanned(both, _ORDERED, reach), lambda x: x.isNotNull() & _flagged(x["value"]))
+    found = F.transform(candidates, lambda x: _span("entropy", len(BASE), x))
     base = base.withColumn("entropy", F.when(F.col("t").rlike(CANDIDATE), found).otherwise(none))
     return base.select(
         "doc_id",
@@ -154,6 +192,13 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
+_ORDERED = "struct<start:bigint,second:int,end:bigint,value:string>"
+
+
+def _ordered(start: Column, second: int, end: Column, value: Column) -> Column:
+    return F.struct(start.alias("start"), F.lit(second).alias("second"), end.alias("end"), value.alias("value"))
+
+
 def _span(kind: str, place: int, x: Column) -> Column:
     return F.struct(
         x["start"].alias("start"), F.lit(place).alias("place"), x["end"].alias("end"), F.lit(kind).alias("kind")

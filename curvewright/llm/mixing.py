@@ -123,28 +123,47 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     The document at a source's cut is taken if at least half of it fits. Every
     row compares its own key with its source's cut, one row per source, so
-    texts do not move.
+    texts do not move, but for rows equal to the one at the cut: these are
+    numbered, by partition and place, and as many are taken as the cut says.
     """
     rows = taken(docs)
     whole = F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(0)
-    part = F.col("taken") - whole * F.col("size")
-    cuts = rows.groupBy("__source").agg(
-        F.max(whole).alias("__epochs"),
-        F.max(F.when((F.col("size") > 0) & (2 * part >= F.col("size")), F.col("__key"))).alias("__cut"),
+    fits = (F.col("size") > 0) & (2 * (F.col("taken") - whole * F.col("size")) >= F.col("size"))
+    cuts = rows.groupBy("__source", "__key").agg(F.max(whole).alias("epochs"), F.count_if(fits).alias("n"))
+    cuts = cuts.groupBy("__source").agg(
+        F.max("epochs").alias("__epochs"), F.max(F.when(F.col("n") > 0, F.struct("__key", "n"))).alias("__cut")
     )
     cuts = stored(cuts, "cuts")
-    copies = F.col("__epochs") + F.coalesce(
-        (random_key(F.col("doc_id"), F.col("text")) <= F.col("__cut")).cast("long"), F.lit(0)
+    own = docs.withColumn("__key", random_key(F.col("doc_id"), F.col("text")))
+    own = own.join(cuts, docs["source"].eqNullSafe(cuts["__source"]))
+    at_cut = F.coalesce(F.col("__key") == F.col("__cut.__key"), F.lit(False))
+    more = F.coalesce((F.col("__key") < F.col("__cut.__key")).cast("long"), F.lit(0))
+    plain = own.where(~at_cut).select(*docs.columns, (F.col("__epochs") + more).alias("__copies"))
+    counted = _numbered(own.where(at_cut), "__key").withColumn(
+        "__copies", F.col("__epochs") + (F.col("__number") < F.col("__cut.n")).cast("long")
     )
     return (
-        docs.join(cuts, docs["source"].eqNullSafe(cuts["__source"]))
-        .withColumn("__copies", copies)
+        plain.unionByName(counted.select(*docs.columns, "__copies"))
         .where("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
         .select(*docs.columns)
     )
 
 
+def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    """``__number`` from 0 within ``key``: rank in a partition plus the counts of those before."""
+    placed = stored(
+        rows.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}), "equal-rows"
+    )
+    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(key, "__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        F.col(key).alias("__k"), F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    rank = F.row_number().over(Window.partitionBy(key, "__part").orderBy("__place")) - 1
+    joined = placed.withColumn("__rank", rank).join(starts, (F.col(key) == F.col("__k")) & (F.col("__part") == F.col("__p")))
+    return joined.withColumn("__number", F.col("__rank") + F.col("__start"))
+
+
 ORACLE = f"""
 WITH r AS (
   SELECT doc_id, source,

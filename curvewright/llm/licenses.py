@@ -141,7 +141,8 @@ def scan(
         .select("key", "h", "pos", F.col("x.w").alias("w"), F.explode(F.array(F.col("x.half"), F.col("x.half") - 1)).alias("at"))
         .where("at >= 0")
         .groupBy("key", "w", "at")
-        .agg(F.collect_list(F.struct("pos", "h")).alias("items"))  # at most w shingles
+        # A set: all copies of a text have one key, and their shingles are combined before they move.
+        .agg(F.collect_set(F.struct("pos", "h")).alias("items"))  # at most w shingles
         .withColumn("hs", F.array_distinct("items.h"))
     )
     signed = windows.select("*", F.explode(_bands(F.col("hs"), bands)).alias("b")).select(

@@ -207,3 +207,120 @@ def test_the_notice_held_best_is_the_find(spark):
     got = {r["doc_id"]: r for r in licenses.documents_with_licenses(docs).collect()}
     for i, t in enumerate(names):
         assert (got[i]["licenses"], got[i]["n_notices"]) == (known[t][0], 1), got[i]
+
+
+def test_equal_rows_are_cut_between_shards(spark):
+    docs = spark.range(2400).selectExpr("7L as doc_id", "'the same row' as text").repartition(3)
+    counts = Counter(r["shard"] for r in sharding.shard(docs).collect())
+    assert set(counts) == set(range(24)) and all(99 <= n <= 101 for n in counts.values())
+    some = docs.unionByName(spark.range(600).selectExpr("id as doc_id", "concat('other row ', id) as text"))
+    load = Counter()
+    for r in sharding.shard(some).collect():
+        load[r["shard"]] += len(r["text"]) + 8
+    assert max(load.values()) - min(load.values()) <= 70
+
+
+def test_shard_query_is_balanced_with_gapless_slots(spark):
+    slots, load = defaultdict(list), Counter()
+    for r in QUERIES["op3_shards"](spark, SF_DIR).collect():
+        slots[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    largest = max(len((r["text"] or "").encode()) + 8 for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect())
+    assert all(sorted(found) == list(range(len(found))) for found in slots.values())
+    assert all(abs(n - sum(load.values()) / 24) <= largest + 1000 for n in load.values())
+
+
+def test_equal_rows_mix_to_their_target(spark):
+    docs = spark.range(1000).selectExpr("1L as doc_id", "'three words here' as text", "'s' as source", "0 as extra")
+    assert mixing.mixed(docs.repartition(3)).count() == 1500
+
+
+def test_a_mix_of_whole_documents_meets_its_targets(spark):
+    rows = edge_rows(plain=300)
+    docs = edge_docs(spark, rows)
+    goals = {r["source"]: r["target"] for r in mixing.targets(
+        docs.groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("source_size"))
+    ).collect()}
+    got = Counter()
+    for r in mixing.mixed(docs).collect():
+        got[r["source"]] += len((r["text"] or "").split())
+    longest = defaultdict(int)
+    for r in rows:
+        longest[r[3]] = max(longest[r[3]], len((r[1] or "").split()))
+    assert all(abs(got[s] - goal) <= longest[s] for s, goal in goals.items())
+
+
+def entropy(word):
+    return -sum(c / len(word) * math.log2(c / len(word)) for c in Counter(word).values())
+
+
+def flagged(word):
+    """Whether a stretch between allowed words holds a window that is random enough for its class."""
+    for part in re.split("|".join(secret_scan.ALLOWED), word, flags=re.I):
+        bits = next((b for _, p, b in secret_scan.CLASSES if re.match(p, part)), None) if len(part) >= 20 else None
+        if bits is not None and max(entropy(part[i : i + 20]) for i in range(len(part) - 19)) >= bits:
+            return True
+    return False
+
+
+def test_flagged_candidates_are_those_of_plain_python(spark):
+    import random
+    import string
+
+    rng = random.Random(5)
+    kinds = [string.ascii_letters, string.ascii_lowercase, string.digits, "0123456789abcdef", string.ascii_letters + "0123456789+/"]
+    texts = []
+    for n in range(200):
+        words = ["".join(rng.choices(rng.choice(kinds)[: rng.choice([4, 9, 99])], k=rng.randint(10, 60))) for _ in range(4)]
+        words.append(rng.choice(["example/", "TEST_", "your-", "x"]) + "".join(rng.choices(kinds[4], k=rng.randint(15, 50))))
+        texts.append((n, " ".join(words)))
+    got = {r["doc_id"]: r for r in secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    some = 0
+    for n, text in texts:
+        spans = [s.split(":") for s in got[n]["spans"].split(",") if s]
+        base = [(int(a), int(b)) for k, a, b in spans if k != "entropy"]
+        want = [
+            (m.start(), m.end()) for m in re.finditer(secret_scan.CANDIDATE, text)
+            if flagged(m.group()) and not any(a <= m.start() and b >= m.end() for a, b in base)
+        ]
+        assert [(int(a), int(b)) for k, a, b in spans if k == "entropy"] == want
+        some += len(want)
+    assert some > 100
+
+
+def test_long_candidates_and_many_matches_take_seconds(spark):
+    import random
+    import string
+    import time
+
+    rng = random.Random(6)
+    letters = string.ascii_letters + string.digits
+    rows = [
+        (1, "example/" + "".join(rng.choices(letters, k=40))),
+        (2, "".join(rng.choices(string.ascii_letters, k=40))),
+        (3, "".join(rng.choices(letters, k=100_000))),
+        (4, " ".join(f"deadbeefdeadbeefdeadbee{n % 10}" for n in range(20_000))),
+    ]
+    began = time.time()
+    got = {r["doc_id"]: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert [got[n]["n_entropy"] for n in (1, 2, 3, 4)] == [1, 1, 1, 0] and got[4]["n_hex"] == 20_000
+    assert got[4]["spans"].endswith(f"hex:{19_999 * 25}:{19_999 * 25 + 24}")
+
+
+def test_copies_of_a_notice_do_not_lengthen_a_window(spark, monkeypatch):
+    seen = []
+    real = licenses.stored
+
+    def watched(df, name):
+        made = real(df, name)
+        if name == "license-windows":
+            seen.append(made.selectExpr("max(size(items) - w)").first()[0])
+        return made
+
+    monkeypatch.setattr(licenses, "stored", watched)
+    notice = dict((t, x) for t, _, x in licenses.TEMPLATES)["mit-notice"]
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(f"before {notice} after").alias("text"))
+    got = licenses.documents_with_licenses(docs).collect()
+    assert len(got) == 1000 and len({r["templates"] for r in got}) == 1 and got[0]["n_notices"] >= 1
+    assert seen[0] <= 0

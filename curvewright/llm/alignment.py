@@ -21,7 +21,7 @@ from curvewright.llm.common import query, stored, table
 #: Public vocabularies of both sides; the paths are parameters.
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: UTF-8 bytes of texts that are aligned as one chunk, and that are encoded by one call.
-CHUNK, CALL = 4 << 20, 1 << 18
+CHUNK, CALL = 1 << 20, 1 << 18
 _ADDED = (
     "__batch long, n_a long, n_b long, n_groups long, n_links long, groups string, "
     "__a array<int>, __b array<int>, __m array<long>, __summary boolean"

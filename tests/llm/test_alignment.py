@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import sys
 from collections import Counter, defaultdict
 
@@ -72,7 +73,21 @@ def expected(rows):
     return sorted(found, key=str)
 
 
-def test_query_is_the_plain_alignment(spark, monkeypatch):
+def test_ranks_and_the_file_s_tokenizer_agree():
+    with open(alignment.PIECE_BPE, "rb") as file:
+        both = alignment.tokenizers(alignment.read(alignment.BYTE_BPE), file.read())
+    agreed = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and alignment.AGREED.fullmatch(chr(c))]
+    for at in range(0, len(agreed), 50):
+        text = " " + " ".join(f"a{c}a !{c}! {c} {c}{c}1" for c in agreed[at : at + 50]) + "  \n x"
+        assert both.ranks.encode_ordinary(text) == A.encode(text, add_special_tokens=False).ids
+    rng = random.Random(4)
+    pieces = agreed[:200] + list("abcdefgh 'st\n\t.,-1") * 40 + ["<|endoftext|>", "  ", "the", " of", "ing"] * 40
+    for _ in range(500):
+        text = " " + "".join(rng.choices(pieces, k=60))
+        assert both.encode_a(text) == A.encode(text, add_special_tokens=False).ids
+
+
+def test_query_is_the_plain_alignment(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     want = expected(rows)
     got = QUERIES["op13_alignment"](spark, SF_DIR)

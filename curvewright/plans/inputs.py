@@ -38,9 +38,17 @@ TENORS = (
 PROVIDERS = ("a", "b", "c")
 
 
+#: Session setting: over how many tasks a scanned table is dealt. Unset, a scan has the
+#: tasks its files give it, as tables of many files need; a table that is one row group
+#: is one task, and everything derived from it row by row would run in that one.
+SPREAD = "curvewright.input.spread"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; how many tasks scan it is the reader's setting."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; how many tasks its rows go through is the reader's setting."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    spread = spark.conf.get(SPREAD, None)
+    return rows.repartition(int(spread)) if spread else rows
 
 
 def _pick(values: tuple, index: Column) -> Column:

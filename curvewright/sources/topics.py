@@ -9,6 +9,7 @@ from curvewright.functions.clock import utc
 from curvewright.functions.payload import JSON_TEXT
 from curvewright.functions.pin import pin
 from curvewright.schemas import FAULT_TYPES, REPLAY_SOURCES
+from curvewright.sources import topic_log
 
 _ENVELOPE = (
     "event_id STRING, provider STRING, instrument STRING, received_at STRING, "
@@ -24,14 +25,25 @@ def read_topic(
     directory: str | None = None,
     stream: bool = True,
     per_trigger: int | None = None,
+    log: str | None = None,
+    rows_per_second: float | None = None,
+    plan: str | None = None,
 ) -> DataFrame:
     """Messages of ``topics`` from the earliest on: key, value, received_at, arrival_seq.
 
     With ``servers`` the Kafka source is used (its connector must be on the
-    classpath); otherwise each topic is a folder of JSON-lines files under
-    ``directory``. ``per_trigger`` limits admission per micro-batch: offsets
-    for Kafka, files for folders.
+    classpath). ``log`` names the root of a topic log, which keeps keys, headers
+    and order without a broker; see :func:`topic_log.read_log` for
+    ``rows_per_second`` and ``plan``. ``directory`` is for folders of foreign
+    JSON-lines files, which have no keys. ``per_trigger`` limits admission per
+    micro-batch: offsets for Kafka, files for folders.
     """
+    if log:
+        made = topic_log.read_log(spark, log, topics, stream, rows_per_second, plan)
+        return made.select(
+            "topic", "key", "value", F.timestamp_micros("published_us").alias("received_at"),
+            (F.col("offset") * 65536 + F.pmod(F.xxhash64("topic"), F.lit(65536))).alias("arrival_seq"),
+        )
     reader = spark.readStream if stream else spark.read
     if servers:
         reader = reader.format("kafka").option("kafka.bootstrap.servers", servers)
@@ -166,9 +178,15 @@ def curve_messages(curves: DataFrame) -> DataFrame:
 
 
 def write_topic(
-    messages: DataFrame, topic: str, servers: str | None = None, directory: str | None = None
-) -> None:
-    """Publish a batch: to Kafka, or as JSON-lines files of the message values."""
+    messages: DataFrame, topic: str, servers: str | None = None, directory: str | None = None,
+    log: str | None = None, batch: str | None = None,
+) -> None:
+    """Publish a batch: to Kafka, to a topic log, or as JSON-lines files of the message values.
+
+    A topic log takes a named ``batch`` once.
+    """
+    if log:
+        return topic_log.write_log(messages, log, topic, batch)
     if servers:
         writer = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
         writer.option("topic", topic).option("includeHeaders", "true").save()

@@ -185,7 +185,63 @@ def without_newlines(text: Column, doc_id: Column) -> Column:
     return F.when(F.crc32(doc_id.cast("string")) % 2 == 0, F.translate(text, "\n", "")).otherwise(text)
 
 
-@query("op12_manifest")
+ORACLE = """
+WITH RECURSIVE
+stripped AS (
+  SELECT *, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS changed
+  FROM (SELECT *, CASE WHEN crc & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS t,
+          coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+        FROM stripped)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS m,
+         row_number() OVER () AS id FROM leaves),
+tree AS (
+  SELECT 0 AS lvl, g, pos, m, leaf AS d FROM placed
+  UNION ALL
+  SELECT lvl + 1, g, pos // 3, any_value((m + 2) // 3), sha256(string_agg(d, '' ORDER BY pos))
+  FROM tree WHERE m > 1 GROUP BY lvl, g, pos // 3),
+subroots AS (SELECT g, d, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS m FROM tree WHERE m = 1),
+upper AS (
+  SELECT 0 AS lvl, pos, m, d FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, any_value((m + 2) // 3), sha256(string_agg(d, '' ORDER BY pos))
+  FROM upper WHERE m > 1 GROUP BY lvl, pos // 3),
+near AS (
+  SELECT lvl, g, pos, string_agg(d, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+         string_agg(d, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r
+  FROM tree WHERE m > 1 WINDOW r AS (PARTITION BY lvl, g, pos // 3 ORDER BY pos)),
+near_upper AS (
+  SELECT lvl, pos, string_agg(d, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+         string_agg(d, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r
+  FROM upper WHERE m > 1 WINDOW r AS (PARTITION BY lvl, pos // 3 ORDER BY pos)),
+steps AS (
+  SELECT p.id, n.lvl AS k, coalesce(n.l, '') AS l, coalesce(n.r, '') AS r
+  FROM placed p JOIN near n ON n.g = p.g AND n.pos = p.pos // (3 ** n.lvl)::BIGINT
+  UNION ALL
+  SELECT p.id, 1000 + n.lvl, coalesce(n.l, ''), coalesce(n.r, '')
+  FROM placed p JOIN subroots s ON s.g = p.g JOIN near_upper n ON n.pos = s.pos // (3 ** n.lvl)::BIGINT),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k) AS step FROM steps),
+proofs AS (SELECT id, max(step) AS last, string_agg(l || r, '' ORDER BY step) AS proof FROM numbered GROUP BY id),
+folded AS (
+  SELECT id, 0::BIGINT AS step, changed AS d FROM placed
+  UNION ALL
+  SELECT f.id, n.step, sha256(n.l || f.d || n.r) FROM folded f JOIN numbered n ON n.id = f.id AND n.step = f.step + 1)
+SELECT p.doc_id, p.leaf, s.d AS subroot, u.d AS root, sha256(coalesce(q.proof, '')) AS proof_sha256,
+       f.d AS folded_root, f.d = u.d AS verified
+FROM placed p JOIN subroots s ON s.g = p.g JOIN (SELECT d FROM upper WHERE m = 1) u ON true
+LEFT JOIN proofs q ON q.id = p.id JOIN folded f ON f.id = p.id AND f.step = coalesce(q.last, 0)
+"""
+
+
+@query("op12_manifest", ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: their leaves, roots and proofs, and which of them tampering breaks."""
     docs = table(spark, sf_dir, "documents")

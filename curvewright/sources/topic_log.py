@@ -219,12 +219,19 @@ class _Writer(DataSourceWriter):
             target = f"{log.at}/{self.topic}/{log.end(self.topic):020d}"
             try:
                 log.fs.move(whole, target)
+                self.abort(messages)
                 return
             except OSError:
                 if log.fs.get_file_info(target).type == pafs.FileType.NotFound:
                     raise
         raise OSError(f"no free offset in {self.topic}")
 
+    def abort(self, messages: list[_Written | None]) -> None:
+        """Remove what tasks left of this write."""
+        log = Log(self.root)
+        if log.fs.get_file_info(self._folder(log)).type != pafs.FileType.NotFound:
+            log.fs.delete_dir(self._folder(log))
+
 
 class TopicLog(DataSource):
     """Options: path; topics (reading, comma-separated) or topic (writing); rows_per_second and plan; batch."""

@@ -207,7 +207,8 @@ def scan_manifest(
     if events:
         low, high = (F.lit(_utc(at)) for at in events)
         found = found.where((F.col("last_event") >= low) & (F.col("first_event") <= high))
-    return read_files(spark, root, [r["path"] for r in found.select("path").collect()])
+    chosen = read_files(spark, root, [r["path"] for r in found.select("path").collect()])
+    return scan_bronze(chosen, provider, start, end)
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:

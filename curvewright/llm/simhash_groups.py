@@ -18,13 +18,18 @@ from pyspark.sql import functions as F
 from curvewright.llm.common import checkpointed, components, stored, text_map
 
 SHINGLE, SIMILAR = 5, 0.8
-#: Fingerprints of 128 bits within this many differing bits are compared as sets. At
-#: similarity 0.8 bits differ with probability 0.15 each (19 of 128, deviation 4); sets
-#: below SMALL shingles scatter more. Of pairs at just 0.8 at most 7.3e-5 lie beyond the
-#: radius, and at most 6.4e-6 of sets below SMALL.
-RADIUS, SMALL, SMALL_RADIUS = 36, 64, 40
+#: The 64-bit words of a fingerprint.
+WORDS = ("w0", "w1", "w2", "w3")
+#: Fingerprints of 256 bits within this many differing bits are compared as sets. At
+#: similarity 0.8 a bit differs with probability 0.154 at most, 0.188 for sets below SMALL
+#: shingles: 2.3e-5 of pairs at just 0.8 lie beyond the radius at most, and 3.0e-5 of
+#: sets below SMALL. Unrelated sets fall within it with probability 2.6e-16, and below SMALL with
+#: 1.2e-8 at most (8 and 10 shingles, whose bits are mostly zero), so they join no groups.
+RADIUS, SMALL, SMALL_RADIUS = 64, 64, 74
 #: Most fingerprints of a tile, and most shingle sets of a block.
 TILE, BLOCK = 1 << 15, 256
+#: Rows of a tile that meet another tile at once: their pairs stay in a processor's cache.
+STEP = 16
 
 
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
@@ -42,29 +47,41 @@ def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
     return pairs[np.unique(pairs[:, 0], return_index=True)[1]]
 
 
-def _print(pairs: np.ndarray) -> tuple[int, int, int, int]:
-    """Set hash, size and the two halves of the fingerprint."""
+def _long(names: tuple[str, ...]) -> str:
+    return ", ".join(f"{name} long" for name in names)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Another 64 bits for each 64-bit hash: odd multipliers and shifted exclusive-ors."""
+    for shift, factor in ((33, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+def _print(pairs: np.ndarray) -> tuple[int, ...]:
+    """Set hash, size and the words of the fingerprint."""
     n = len(pairs)
     if not n:
-        return 0, 0, 0, 0
-    ones = np.zeros(128, np.int64)
+        return (0,) * (2 + len(WORDS))
+    ones = np.zeros(64 * len(WORDS), np.int64)
     for s in range(0, n, 1 << 15):
-        part = np.ascontiguousarray(pairs[s : s + (1 << 15)]).view(np.uint8).reshape(-1, 16)
+        part = pairs[s : s + (1 << 15)]
+        part = np.ascontiguousarray(np.hstack((part, _mixed(part)))).view(np.uint8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    low, high = np.packbits(2 * ones > n, bitorder="little").view("<u8").astype("<i8").tolist()
+    words = np.packbits(2 * ones > n, bitorder="little").view("<u8").astype("<i8").tolist()
     whole = int(pairs.sum(axis=0, dtype=np.uint64).astype("<i8")[0])
-    return whole, n, low, high
+    return whole, n, *words
 
 
 def prints(docs: DataFrame, keep: list[str], k: int = SHINGLE) -> DataFrame:
-    """Columns ``keep`` plus id (of the shingle set), n (its size), w0 and w1 (its fingerprint)."""
+    """Columns ``keep`` plus id (of the shingle set), n (its size) and w0 to w3 (its fingerprint)."""
 
     def work(column: pa.Array) -> list[pa.Array]:
         made = [_print(shingle_set((t or "").encode(), k)) for t in column.to_pylist()]
-        made = np.array(made, np.int64).reshape(-1, 4)
-        return [pa.array(made[:, i]) for i in range(4)]
+        made = np.array(made, np.int64).reshape(-1, 2 + len(WORDS))
+        return [pa.array(made[:, i]) for i in range(2 + len(WORDS))]
 
-    return text_map(docs, "text", keep, "id long, n long, w0 long, w1 long", work)
+    return text_map(docs, "text", keep, "id long, n long, " + _long(WORDS), work)
 
 
 def _merge(part: np.ndarray, i: int, js: np.ndarray) -> np.ndarray:
@@ -76,38 +93,47 @@ def _merge(part: np.ndarray, i: int, js: np.ndarray) -> np.ndarray:
     return js[first[new]]
 
 
-def _columns(group: pa.Table, prefix: str = "") -> tuple[np.ndarray, ...]:
-    """id, n, w0 and w1 by size, equal sizes by id: the order does not depend on the arrival of rows."""
-    order = np.lexsort((group[prefix + "id"].to_numpy(), group[prefix + "n"].to_numpy()))
-    return tuple(group[prefix + c].to_numpy()[order] for c in ("id", "n", "w0", "w1"))
-
+def _columns(group: pa.Table, prefix: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """id, n and words by size, equal sizes by id: the order does not depend on the arrival of rows."""
+    ids, n, *words = (group[prefix + c].to_numpy() for c in ("id", "n", *WORDS))
+    order = np.lexsort((ids, n))
+    return ids[order], n[order], np.stack(words)[:, order].view(np.uint64)
 
-def _bits(a0, a1, b0, b1) -> np.ndarray:
-    """Differing bits of every pair; unsigned, as a negative number counts as its absolute value."""
-    low, high = ((x[:, None] ^ y).view(np.uint64) for x, y in ((a0, b0), (a1, b1)))
-    return np.bitwise_count(low).astype(np.int16) + np.bitwise_count(high)
 
+def _near(an: np.ndarray, a: np.ndarray, bn: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """i, j and differing bits of the pairs that may be similar by size and fingerprint.
 
-def _near(n0, a0, a1, n1, b0, b1) -> np.ndarray:
-    return _bits(a0, a1, b0, b1) <= np.where(np.minimum(n0[:, None], n1) < SMALL, SMALL_RADIUS, RADIUS)
+    The last word is compared only where the others leave the pair within the radius.
+    Different sets of equal size share all but one shingle each at most, so below 9
+    shingles they are never similar.
+    """
+    bits = np.bitwise_count(a[0][:, None] ^ b[0])  # three words: 192 bits, one byte
+    for x, y in zip(a[1:-1], b[1:-1], strict=True):
+        bits += np.bitwise_count(x[:, None] ^ y)
+    i, j = np.divmod(np.flatnonzero(bits <= max(RADIUS, SMALL_RADIUS)), len(bn))
+    bits = bits[i, j].astype(np.int16) + np.bitwise_count(a[-1, i] ^ b[-1, j])
+    less, more = np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])
+    same = less == more
+    reach = np.where(less < SMALL, SMALL_RADIUS, RADIUS)
+    keep = (bits <= reach) & (less - same >= SIMILAR * (more + same) - 1e-6)
+    return i[keep], j[keep], bits[keep]
 
 
 def _compare(a: pa.Table, b: pa.Table) -> pa.Table:
     """Links between the rows of two tiles, which may be one tile: equal rows then have equal numbers."""
     found = [np.zeros((2, 0), np.int64)]
     if len(a) and len(b):
-        (ai, an, a0, a1), (bi, bn, b0, b1) = _columns(a), _columns(b, "r")
+        (ai, an, aw), (bi, bn, bw) = _columns(a), _columns(b, "r")
         same = len(ai) == len(bi) and bool((ai == bi).all())
         part = np.arange(len(ai) + len(bi)) if not same else np.arange(len(ai))
         shift = 0 if same else len(ai)
-        for s in range(0, len(ai), 64):
-            rows = slice(s, s + 64)
+        for s in range(0, len(ai), STEP):
+            rows = slice(s, s + STEP)
             lo = np.searchsorted(bn, an[rows][0] * SIMILAR - 1e-6)
             hi = np.searchsorted(bn, an[rows][-1] / SIMILAR + 1e-6, side="right")
             if lo >= hi:
                 continue
-            near = _near(an[rows], a0[rows], a1[rows], bn[lo:hi], b0[lo:hi], b1[lo:hi])
-            i, j = np.nonzero(near)
+            i, j, _ = _near(an[rows], aw[:, rows], bn[lo:hi], bw[:, lo:hi])
             i, j = i + s, j + lo
             keep = ai[i] != bi[j]
             i, j = i[keep], j[keep]
@@ -121,7 +147,7 @@ def _compare(a: pa.Table, b: pa.Table) -> pa.Table:
 
 
 def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
-    """(a, b): links that connect all ``sets`` (id, n, w0, w1) that may be similar.
+    """(a, b): links that connect all ``sets`` (id, n, w0 to w3) that may be similar.
 
     Similar sets differ in size by a factor of 0.8 at most, so sizes are cut
     into classes of that ratio, only equal and adjacent classes meet, and inside
@@ -139,7 +165,7 @@ def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
     pairs = tiles.withColumn("oc", F.explode(F.array("c", F.col("c") + 1))).join(other, "oc")
     pairs = pairs.where((F.col("oc") > F.col("c")) | (F.col("ot") >= F.col("t"))).select("c", "t", "oc", "ot")
     pairs = checkpointed(pairs)
-    fields = ["id", "n", "w0", "w1"]
+    fields = ["id", "n", *WORDS]
     left = classed.join(pairs, ["c", "t"]).select("c", "t", "oc", "ot", *fields)
     right = (
         classed.select(F.col("c").alias("oc"), F.col("t").alias("ot"), *fields)
@@ -169,11 +195,12 @@ def similar_links(texts: DataFrame, groups: DataFrame, k: int = SHINGLE, block:
 
     def work(column: pa.Array) -> list[pa.Array]:
         sets = [shingle_set((t or "").encode(), k) for t in column.to_pylist()]
-        made = np.array([_print(s) for s in sets], np.int64).reshape(-1, 4)
+        made = np.array([_print(s) for s in sets], np.int64).reshape(-1, 2 + len(WORDS))
         lists = pa.array([s[:, 0].astype("<i8") for s in sets], pa.list_(pa.int64()))
-        return [*(pa.array(made[:, i]) for i in (1, 2, 3)), lists]
+        return [*(pa.array(made[:, i]) for i in range(1, 2 + len(WORDS))), lists]
 
-    sets = stored(text_map(members, "text", ["id", "component"], "n long, w0 long, w1 long, s array<long>", work), "sets")
+    added = f"n long, {_long(WORDS)}, s array<long>"
+    sets = stored(text_map(members, "text", ["id", "component"], added, work), "sets")
     sizes = sets.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     cut = sets.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
     shared = max(1, sets.count() // (2 * block))
@@ -183,14 +210,15 @@ def similar_links(texts: DataFrame, groups: DataFrame, k: int = SHINGLE, block:
     )
     alone = F.col("blocks") == 1
     placed = cut.withColumn("m", F.explode(meets)).select(
-        "component", "id", "n", "w0", "w1", "s",
+        "component", "id", "n", *WORDS, "s",
         F.when(alone, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.col("component")).alias("g"),
         F.when(alone, -1).otherwise(F.col("m.i")).alias("i"),
         F.when(alone, -1).otherwise(F.col("m.j")).alias("j"),
     )
 
     def verify(group: pa.Table) -> pa.Table:
-        comp, ids, n, w0, w1 = (group[c].to_numpy() for c in ("component", "id", "n", "w0", "w1"))
+        comp, ids, n, *words = (group[c].to_numpy() for c in ("component", "id", "n", *WORDS))
+        words = np.stack(words).view(np.uint64)
         shingles = group["s"].combine_chunks()
         values, offsets = shingles.values.to_numpy(), shingles.offsets.to_numpy()
         order = np.argsort(comp, kind="stable")
@@ -199,11 +227,10 @@ def similar_links(texts: DataFrame, groups: DataFrame, k: int = SHINGLE, block:
         for rows in np.split(order, cuts):
             if len(rows) < 2:
                 continue
-            bits = _bits(w0[rows], w1[rows], w0[rows], w1[rows])
-            near = _near(n[rows], w0[rows], w1[rows], n[rows], w0[rows], w1[rows])
-            i, j = np.nonzero(np.triu(near, 1))
+            i, j, bits = _near(n[rows], words[:, rows], n[rows], words[:, rows])
+            i, j, bits = i[i < j], j[i < j], bits[i < j]
             part = np.arange(len(rows))
-            for x in np.argsort(bits[i, j], kind="stable"):
+            for x in np.argsort(bits, kind="stable"):
                 p, q = i[x], j[x]
                 if part[p] == part[q]:
                     continue
@@ -231,7 +258,7 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     printed = checkpointed(prints(marked, ["doc_id", "__h1", "__h2"], k))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__h1", "__h2")
     sets = checkpointed(
-        printed.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "w0", "w1")], F.min(order).alias("r"))
+        printed.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", *WORDS)], F.min(order).alias("r"))
     )
     groups = components(candidate_links(sets))
     source = stored(groups.join(sets, groups["node"] == sets["id"]).select("id", "r.__h1", "r.__h2"), "tried")

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -346,8 +347,8 @@ def test_similar_groups_keep_one_document(spark):
 @pytest.mark.parametrize("order", [[0, 1, 2], [1, 0, 2], [2, 1, 0], [2, 0, 1]])
 def test_a_tile_meets_itself_in_any_order_of_rows(order):
     ids, zeros = [30, 10, 20], [0] * 3
-    left = pa.table({"id": ids, "n": [50] * 3, "w0": zeros, "w1": zeros})
-    right = left.rename_columns(["rid", "rn", "rw0", "rw1"]).take(order)
+    left = pa.table({"id": ids, "n": [50] * 3, **{w: zeros for w in simhash_groups.WORDS}})
+    right = left.rename_columns(["r" + c for c in left.column_names]).take(order)
     links = simhash_groups._compare(left, right).to_pylist()
     label = {i: i for i in ids}
     for link in links:
@@ -356,19 +357,36 @@ def test_a_tile_meets_itself_in_any_order_of_rows(order):
     assert len(set(label.values())) == 1 and len(links) == 2
 
 
-@pytest.mark.parametrize(("common", "beyond", "far"), [(80, 31, 36), (40, 31, 40)])
+@pytest.mark.parametrize(("common", "beyond", "far"), [(80, 54, 64), (40, 58, 74)])
 def test_similar_sets_with_unlucky_fingerprints_are_candidates(common, beyond, far):
     rng, tried = np.random.default_rng(5), 0
     while tried < 5:  # pairs of similarity 0.8 whose fingerprints differ in many bits
         rows = rng.integers(0, 2**64, (common * 5 // 4, 2), dtype=np.uint64)
         own = common // 8
-        a, b = (np.array([simhash_groups._print(x)]).T for x in (rows[: common + own], np.delete(rows, np.s_[:own], axis=0)))
-        bits = int(simhash_groups._bits(a[2], a[3], b[2], b[3])[0, 0])
+        a, b = (set_table([x]) for x in (rows[: common + own], np.delete(rows, np.s_[:own], axis=0)))
+        bits = sum(((a[w][0].as_py() ^ b[w][0].as_py()) % 2**64).bit_count() for w in simhash_groups.WORDS)
         if beyond < bits <= far:
             tried += 1
-            left, right = (dict(zip(("id", "n", "w0", "w1"), x, strict=True)) for x in (a, b))
-            links = simhash_groups._compare(pa.table(left), pa.table({"r" + c: x for c, x in right.items()}))
-            assert len(links) == 1
+            assert len(simhash_groups._compare(a, b.rename_columns(["r" + c for c in b.column_names]))) == 1
+
+
+def set_table(sets):
+    made = np.array([simhash_groups._print(s) for s in sets]).T
+    return pa.table(dict(zip(("id", "n", *simhash_groups.WORDS), made, strict=True)))
+
+
+@pytest.mark.parametrize(("sizes", "count"), [((4, 5), 6000), ((6, 6), 6000), ((8, 10), 6000), ((10, 10), 6000)])
+def test_unrelated_sets_of_few_shingles_are_no_candidates(sizes, count):
+    rng = np.random.default_rng(8)
+    a, b = (set_table(rng.integers(0, 2**64, (count, n, 2), dtype=np.uint64)) for n in sizes)
+    assert len(simhash_groups._compare(a, b.rename_columns(["r" + c for c in b.column_names]))) <= 2
+
+
+def test_many_unrelated_short_texts_join_no_group(spark):
+    words = [F.xxhash64("id", F.lit(i)).alias(w) for i, w in enumerate(simhash_groups.WORDS)]
+    sets = spark.range(200_000).select("id", (F.lit(30) + F.col("id") % 8).alias("n"), *words)
+    # 2 * 10^10 pairs at 5.6e-12 each: 0.11 by chance are expected, which sets then decide.
+    assert simhash_groups.candidate_links(sets).count() <= 2
 
 
 def test_components_of_a_path_and_a_star(spark):

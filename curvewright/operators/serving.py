@@ -10,6 +10,8 @@ from curvewright.functions.scores import validation_points
 from curvewright.schemas import SERVING_EXPECTED_TENORS
 
 HISTORY_ROWS = 1000
+#: Parts in which the events of one instrument are ranked before they meet.
+HISTORY_PARTS = 64
 SNAPSHOT_COMPLETENESS = 0.80
 STALE_SECONDS = 600
 HEALTHY_SECONDS = 300
@@ -50,12 +52,15 @@ def history(curves: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
     """Newest ``rows`` events per instrument, whatever the number.
 
     Counts per instrument and hour, combined before they move, tell the hour in
-    which the last wanted event lies; older events go before anything is ranked,
-    so a task sorts about ``rows`` events and one hour's.
+    which the last wanted event lies; older events go before anything is ranked.
+    What is left of a hot instrument is ranked in parts by the task that read it,
+    which keeps ``rows`` of its own before they move, and the parts' newest rows
+    are ranked once more: the last task gets at most ``rows`` of each part,
+    even if all events are of one hour.
     """
-    newest = Window.partitionBy("instrument").orderBy(
-        F.col("event_timestamp_ms").desc(), F.col("event_id").desc()
-    )
+    order = F.col("event_timestamp_ms").desc(), F.col("event_id").desc()
+    of_part = Window.partitionBy("instrument", "_share").orderBy(*order)
+    newest = Window.partitionBy("instrument").orderBy(*order)
     hour = F.expr("unix_seconds(event_timestamp) div 3600")
     later = Window.partitionBy("instrument").orderBy(F.col("_hour").desc()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -71,6 +76,10 @@ def history(curves: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
     return (
         reached.drop("_of", "_cut")
         .withColumn("event_timestamp_ms", F.unix_millis("event_timestamp"))
+        .withColumn("_share", F.spark_partition_id() % HISTORY_PARTS)
+        .withColumn("rank", F.row_number().over(of_part))
+        .where(F.col("rank") <= rows)
+        .drop("_share")
         .withColumn("rank", F.row_number().over(newest))
         .where(F.col("rank") <= rows)
     )

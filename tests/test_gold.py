@@ -79,6 +79,29 @@ def test_serving_snapshot_gate_and_history(spark):
     assert history.count() == 5
 
 
+def test_history_of_one_instrument_in_one_hour(spark):
+    """20,000 events of a second or two, many at one time, spread over 12 tasks."""
+    events = spark.range(0, 20_000, 1, 12).select(
+        F.when(F.col("id") % 100 > 0, "NBP").otherwise("TTF").alias("instrument"),
+        F.hex(F.xxhash64("id")).alias("event_id"),
+        F.timestamp_millis(F.pmod(F.xxhash64("id"), F.lit(1500)) + 1_700_000_000_000).alias("event_timestamp"),
+    )
+    newest = {}
+    for r in events.withColumn("ms", F.unix_millis("event_timestamp")).collect():
+        newest.setdefault(r["instrument"], []).append((r["ms"], r["event_id"]))
+    want = {
+        (name, *event, place)
+        for name, found in newest.items()
+        for place, event in enumerate(sorted(found, reverse=True)[:150], 1)
+    }
+    history = serving.history(events, rows=150)
+    got = [(r["instrument"], r["event_timestamp_ms"], r["event_id"], r["rank"]) for r in history.collect()]
+    assert len(got) == len(want) == 300 and set(got) == want
+    # Tasks keep the wanted number of their own events before any are moved.
+    plan = history._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4
+
+
 def test_provider_status(spark):
     df = spark.createDataFrame([(0.0,), (299.9,), (300.0,), (900.0,), (None,)], "age double")
     got = [r[0] for r in df.select(serving.provider_status(F.col("age"))).collect()]

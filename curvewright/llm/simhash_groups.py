@@ -23,8 +23,8 @@ WORDS = ("w0", "w1", "w2", "w3")
 #: Fingerprints of 256 bits within this many differing bits are compared as sets. At
 #: similarity 0.8 a bit differs with probability 0.154 at most, 0.188 for sets below SMALL
 #: shingles: 2.3e-5 of pairs at just 0.8 lie beyond the radius at most, and 3.0e-5 of
-#: sets below SMALL. Unrelated sets fall within it with probability 2.6e-16, and below SMALL with
-#: 1.2e-8 at most (8 and 10 shingles, whose bits are mostly zero), so they join no groups.
+#: sets below SMALL. Unrelated sets fall within it with probability 8.7e-16 at most, and below SMALL
+#: with 5.1e-9 at most (8 and 10 shingles, whose bits are mostly zero), so they join no groups.
 RADIUS, SMALL, SMALL_RADIUS = 64, 64, 74
 #: Most fingerprints of a tile, and most shingle sets of a block.
 TILE, BLOCK = 1 << 15, 256

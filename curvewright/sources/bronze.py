@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timedelta, timezone
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,13 +96,15 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _place(rows: DataFrame, root: str, name: str) -> list[tuple]:
+def _place(rows: DataFrame, root: str, name: str, again: bool = False) -> DataFrame:
     """Write rows and put their files into the folders of ``root``; the files' manifest entries.
 
     ``rebalance`` groups rows by partition folder, merges small groups and
     splits large ones by size, so a busy provider-hour neither floods one task
-    nor leaves many small files. Files arrive under ``name``: a write of that
-    name that died is replaced.
+    nor leaves many small files. Files' names begin with ``name``; ``again`` says that
+    a write of that name may have died, whose files are replaced. The driver renames
+    folders that are new whole and never lists the files of a batch. The entries lie in
+    the batch's incoming folder, which goes once they are in the manifest.
     """
     spark, incoming = rows.sparkSession, f"{root}/_incoming/{name}"
     (
@@ -112,35 +113,25 @@ def _place(rows: DataFrame, root: str, name: str) -> list[tuple]:
         .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("mapreduce.output.basename", name)
         .partitionBy(*PARTITIONS)
-        .parquet(incoming)
+        .parquet(f"{incoming}/rows")
     )
-    # Footers and one column of what was just written.
+    # Footers and one column of what was just written. A path is a URI: "+" stands for itself.
+    path = F.url_decode(F.replace(F.substring_index("_metadata.file_path", "/", -4), F.lit("+"), F.lit("%2B")))
     stats = (
-        spark.read.schema(BRONZE_ROW).parquet(incoming)
-        .groupBy(F.col("_metadata.file_path").alias("path"), *PARTITIONS)
+        spark.read.schema(BRONZE_ROW).parquet(f"{incoming}/rows")
+        .groupBy(path.alias("path"), *PARTITIONS, F.col("_metadata.file_size").alias("bytes"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.min(F.unix_micros("event_timestamp")).alias("first_us"),
             F.max(F.unix_micros("event_timestamp")).alias("last_us"),
         )
+        .select("path", *PARTITIONS, "rows", "bytes", "first_us", "last_us", F.lit(True).alias("live"))
     )
-    known = {"/".join(unquote(r["path"]).rsplit("/", 4)[1:]): r for r in stats.collect()}
-    entries, cleaned = [], set()
-    for number, (path, size) in enumerate(files.tree(spark, incoming)):
-        if path not in known:  # a file without rows
-            continue
-        folder, r = path.rpartition("/")[0], known[path]
-        if folder not in cleaned:
-            cleaned.add(folder)
-            for old in files.names(spark, f"{root}/{folder}"):
-                if old.startswith(f"{name}-"):
-                    files.remove(spark, f"{root}/{folder}/{old}")
-        target = f"{folder}/{name}-{number:05d}.parquet"
-        files.move(spark, f"{incoming}/{path}", f"{root}/{target}")
-        entries.append((target, r["provider"], r["dt"], r["hh"], r["rows"], size, r["first_us"], r["last_us"], True))
-    files.remove(spark, incoming)
-    return entries
+    stats.write.mode("overwrite").parquet(f"{incoming}/entries")
+    files.graft(spark, f"{incoming}/rows", root, f"{name}-" if again else None)
+    return spark.read.schema(_FILE).parquet(f"{incoming}/entries")
 
 
 def write_bronze(raw: DataFrame, root: str, epoch: int | None = None) -> None:
@@ -149,8 +140,9 @@ def write_bronze(raw: DataFrame, root: str, epoch: int | None = None) -> None:
     log = _log(spark, root)
     if epoch is not None and epoch <= log.manifest()["epoch"]:
         return
-    entries = _place(bronze_rows(raw), root, f"b{uuid.uuid4().hex}" if epoch is None else f"e{epoch}")
-    log.append(spark.createDataFrame(entries, _FILE), epoch)
+    name = f"b{uuid.uuid4().hex}" if epoch is None else f"e{epoch}"
+    log.append(_place(bronze_rows(raw), root, name, epoch is not None), epoch)
+    files.remove(spark, f"{root}/_incoming/{name}")
 
 
 def compact_bronze(spark: SparkSession, root: str, before: datetime, most_files: int = 1) -> int:
@@ -166,9 +158,11 @@ def compact_bronze(spark: SparkSession, root: str, before: datetime, most_files:
     if not small:
         return 0
     paths = [r["path"] for r in small]
-    entries = _place(read_files(spark, root, paths), root, f"c{uuid.uuid4().hex}")
+    name = f"c{uuid.uuid4().hex}"
+    entries = _place(read_files(spark, root, paths), root, name)
     gone = [(r["path"], r["provider"], r["dt"], r["hh"], r["rows"], r["bytes"], None, None, False) for r in small]
-    _log(spark, root).append(spark.createDataFrame(entries + gone, _FILE))
+    _log(spark, root).append(entries.unionByName(spark.createDataFrame(gone, _FILE)))
+    files.remove(spark, f"{root}/_incoming/{name}")
     for path in paths:
         files.remove(spark, f"{root}/{path}")
     return len({path.rpartition("/")[0] for path in paths})

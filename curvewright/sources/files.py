@@ -50,29 +50,27 @@ def create(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file, making the target's folder; an older target of that name is replaced."""
+def graft(spark: SparkSession, source: str, target: str, replaced: str | None = None) -> None:
+    """Rename the folders in ``source`` into ``target``; one that the target lacks moves whole.
+
+    So a new day or provider is one rename, however many files it has. In a folder
+    of both sides the target's files whose names begin with ``replaced`` go first.
+    """
     system, place = _at(spark, target)
-    system.mkdirs(place.getParent())
-    if system.exists(place):
-        system.delete(place, False)
-    if not system.rename(_at(spark, source)[1], place):
-        raise FileNotFoundError(source)
+    entries = [e for e in system.listStatus(_at(spark, source)[1]) if not e.getPath().getName().startswith(("_", "."))]
+    if replaced is not None and any(not entry.isDirectory() for entry in entries):
+        for old in names(spark, target):
+            if old.startswith(replaced):
+                remove(spark, f"{target}/{old}")
+    for entry in entries:
+        name = entry.getPath().getName()
+        to = _at(spark, f"{target}/{name}")[1]
+        if entry.isDirectory() and system.exists(to):
+            graft(spark, f"{source}/{name}", f"{target}/{name}", replaced)
+        elif not system.rename(entry.getPath(), to):
+            raise FileNotFoundError(f"{source}/{name}")
 
 
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _at(spark, path)
     system.delete(place, True)
-
-
-def tree(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(path below ``path``, bytes) of every data file under a folder."""
-    system, place = _at(spark, path)
-    found, at = [], system.listFiles(place, True)
-    root = system.makeQualified(place).toString().rstrip("/")
-    while at.hasNext():
-        entry = at.next()
-        name = entry.getPath().toString()[len(root) + 1 :]
-        if not name.rpartition("/")[2].startswith(("_", ".")):
-            found.append((name, entry.getLen()))
-    return sorted(found)

@@ -198,6 +198,23 @@ def test_gap_check_opens_no_data_file(spark, tmp_path):
     ]
 
 
+def test_the_driver_moves_new_folders_whole(spark, tmp_path, monkeypatch):
+    from curvewright.sources import files
+
+    calls, at = [], files._at
+    monkeypatch.setattr(files, "_at", lambda *a: calls.append(a) or at(*a))
+    for hours in (2, 20):
+        calls.append(None)
+        bronze.write_bronze(bronze_feed(spark, range(hours)), str(tmp_path / f"b{hours}"))
+    few = calls.index(None, 1)
+    assert len(calls) - few <= few + 4  # a further day folder at most, not one call a file
+    root = str(tmp_path / "b20")
+    bronze.write_bronze(bronze_feed(spark, [3, 30], shift=9000), root)  # hours there and new ones
+    entries = bronze.manifest(spark, root).collect()
+    assert len(entries) == 22 and all(os.path.getsize(f"{root}/{r['path']}") == r["bytes"] for r in entries)
+    assert bronze.read_bronze(spark, root).count() == 88 and not os.listdir(f"{root}/_incoming")
+
+
 def test_a_repeated_or_broken_epoch_leaves_its_rows_once(spark, tmp_path, monkeypatch):
     from curvewright.sources.log_table import LogTable
 

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curvewright.session import fresh_path, shared_dir
+from curvewright.sources.files import remove
 
 #: Bytes that separate words in the whitespace sense: x20 and x09 to x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of the rows that go to Python at once, and the setting that says so.
+BATCH, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -93,6 +97,18 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` for Python: its session sends rows in batches of BATCH bytes, unless it was set otherwise.
+
+    The setting of 10,000 rows alone lets a batch grow with the texts' length, and
+    a task holds several copies of one, in the executor's direct memory and in Python.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH))
+    return df
+
+
 def text_map(
     df: DataFrame, text: str, keep: list[str], added: str, work: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
@@ -113,7 +129,7 @@ def text_map(
             made = work(batch.column(at))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + made, names=names)
 
-    return df.select(*sent).mapInArrow(run, schema)
+    return bounded(df.select(*sent)).mapInArrow(run, schema)
 
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +141,24 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return chars[ends[0] : ends[-1]], ends - ends[0]
 
 
+class Rewritten:
+    """A table of a loop: every round's rows are written once, and those of the round before go.
+
+    A reliable checkpoint computes its last stage twice, once to count and once to write.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.path = name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        spark, before = df.sparkSession, self.path
+        self.path = fresh_path(spark, f"llm-{self.name}")
+        df.write.parquet(self.path)
+        if before is not None:
+            remove(spark, before)
+        return spark.read.schema(df.schema).parquet(self.path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read back.
 

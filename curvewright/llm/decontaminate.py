@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import ascii_lower, query, raw_bytes, stored, table, text_map
+from curvewright.llm.common import ascii_lower, bounded, query, raw_bytes, stored, table, text_map
 
 #: Words in a window; a shorter item is one window.
 SPAN = 10
@@ -117,7 +117,7 @@ def fingerprints(texts: DataFrame, spans: list[int]) -> DataFrame:
                         [pa.array(np.full(len(own), span, np.int32)), pa.array(own)], names=["span", "gram"]
                     )
 
-    return texts.select("text").mapInArrow(run, "span int, gram long").distinct()
+    return bounded(texts.select("text")).mapInArrow(run, "span int, gram long").distinct()
 
 
 def candidates(texts: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
@@ -161,7 +161,8 @@ def candidates(texts: DataFrame, known: dict[int, np.ndarray]) -> DataFrame:
                     names=names,
                 )
 
-    return texts.select("key", "text").mapInArrow(run, "key binary, span int, start int, window string").distinct()
+    sent = bounded(texts.select("key", "text"))
+    return sent.mapInArrow(run, "key binary, span int, start int, window string").distinct()
 
 
 def word_counts(docs: DataFrame, keep: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import json
 import re
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from curvewright.llm.common import query, raw_bytes, stored, table, text_map
+from curvewright.llm.common import bounded, query, raw_bytes, stored, table, text_map
 from curvewright.llm.transducer import Transducer, compile_words
 from curvewright.session import shared_dir
 
@@ -60,7 +61,7 @@ class Encoder:
             "Split", "ByteLevel"
         ] or not shape[0]["invert"] or model["type"] != "BPE":
             raise ValueError("not a word-level BPE file")
-        self.library = Tokenizer.from_str(file)
+        self._file, self._library = file, None
         pattern = shape[0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
         narrow = pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
@@ -68,14 +69,19 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         vocab = model["vocab"]
-        named = {i: t for t, i in (vocab | self.special).items()}
-        self.tokens = pa.array([named.get(i) for i in range(max(named) + 1)], pa.string())
         self.merges = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(model["merges"])}
         self.made = [vocab[a + b] for a, b in model["merges"]]
         letters = byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + model["end_of_word_suffix"]] for c in letters]
-        self.memory: dict[str, list[int]] = {}
+        self.memory: dict[str, array] = {}
+
+    @property
+    def library(self) -> Tokenizer:
+        """The file's own tokenizer, loaded when a text first needs it."""
+        if self._library is None:
+            self._library = Tokenizer.from_str(self._file)
+        return self._library
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; special tokens' strings are words of their own."""
@@ -147,12 +153,12 @@ class Encoder:
                 offer(before[at], at)
         return [i for i in ids if i >= 0]
 
-    def unseen(self, word: str) -> list[int]:
+    def unseen(self, word: str) -> array:
         ids = self.memory.get(word)
         if ids is None:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            ids = self.merge(word)
+            ids = array("i", self.merge(word))
             if len(word) <= LONGEST:
                 self.memory[word] = ids
         return ids
@@ -164,6 +170,15 @@ def encoder(file: str) -> Encoder:
     return Encoder(file)
 
 
+@lru_cache(maxsize=2)
+def token_names(file: str) -> pa.Array:
+    """The token of every id of a vocabulary file, all that decoding needs."""
+    made = json.loads(file)
+    vocab = made["model"]["vocab"] | {t["content"]: t["id"] for t in made["added_tokens"]}
+    named = {i: t for t, i in vocab.items()}
+    return pa.array([named.get(i) for i in range(max(named) + 1)], pa.string())
+
+
 @lru_cache(maxsize=2)
 def lexicon(name: str) -> Transducer:
     """The lexicon file that Spark brought to this machine; its pages are shared by all tasks."""
@@ -176,21 +191,28 @@ def read(path: str) -> str:
 
 
 def word_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """(word, n) over all texts; a task's batches are counted before they are exchanged."""
+    """(word, n) over all texts; a task counts AT_ONCE different words before it passes them on."""
     file = docs.sparkSession.sparkContext.broadcast(read(path))
 
     def count(batches):
         words = encoder(file.value).words
+        found: Counter = Counter()
+
+        def flush():
+            made = [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(made, names=["word", "n"])
+
         for batch in batches:
-            found: Counter = Counter()
             for text in batch.column(0):
                 found.update(words(text.as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"]
-            )
+                if len(found) >= AT_ONCE:
+                    yield flush()
+        if found:
+            yield flush()
 
     return (
-        docs.where("length(text) > 0").select("text").mapInArrow(count, "word string, n long")
+        bounded(docs.where("length(text) > 0").select("text")).mapInArrow(count, "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n"))
     )
 
@@ -244,9 +266,10 @@ def _encoded(words: list[str], enc: Encoder, known: Transducer) -> tuple[np.ndar
     # Places of each distinct word's ids: those of the lexicon first, then merged ones.
     starts = np.cumsum(sizes) - sizes
     lengths = np.fromiter(map(len, merged), np.int64, len(merged))
+    ids_merged = np.frombuffer(b"".join(merged), np.dtype(merged[0].typecode)) if merged else np.zeros(0, np.int64)
     starts[missing] = len(ids) + np.cumsum(lengths) - lengths
     sizes[missing] = lengths
-    flat = np.concatenate([ids, np.fromiter((i for m in merged for i in m), np.int64, int(lengths.sum()))])
+    flat = np.concatenate([ids, ids_merged])
     size = sizes[at]
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     return size, flat[np.repeat(starts[at], size) + within]
@@ -289,7 +312,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, keep: tuple[str, ...] = ("do
                 yield flush(batch, first, words, counts)
 
     sent = [F.col(f"`{c}`") for c in keep] + [F.col("text").alias("__text")]
-    return docs.select(*sent).mapInArrow(run, schema)
+    return bounded(docs.select(*sent)).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, path: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
@@ -302,7 +325,7 @@ def decode(rows: DataFrame, path: str = VOCABULARY, keep: tuple[str, ...] = ("do
     file = rows.sparkSession.sparkContext.broadcast(read(path))
 
     def work(column: pa.Array) -> list[pa.Array]:
-        names, made = encoder(file.value).tokens, []
+        names, made = token_names(file.value), []
         for first in range(0, len(column), 256):
             part = column.slice(first, 256)
             flat = pc.list_flatten(part)

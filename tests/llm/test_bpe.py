@@ -8,6 +8,8 @@ import sys
 import time
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -130,3 +132,11 @@ def test_frequent_words_fit_the_size_and_ties_stay_together(spark):
     for size, want in ((0, ""), (1, "a"), (2, "a"), (3, "abc"), (4, "abcd"), (9, "abcd")):
         assert "".join(sorted(r["word"] for r in bpe.frequent(counts, size).collect())) == want
     assert bpe.frequent(counts.where("n > 9"), 3).collect() == []
+
+
+def test_long_texts_reach_python_in_bounded_batches(spark):
+    from curvewright.llm import common
+
+    texts = spark.range(0, 4000, 1, 1).select("id", F.expr("repeat(concat('w', id, ' '), 1000)").alias("text"))
+    sizes = common.text_map(texts, "text", ["id"], "bytes long", lambda c: [pa.array([c.nbytes] * len(c), pa.int64())])
+    assert sizes.agg(F.max("bytes")).first()[0] <= 2 * common.BATCH  # 20 MB before

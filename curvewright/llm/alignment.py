@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from curvewright.llm.bpe import AGREED, byte_letters, read
-from curvewright.llm.common import query, stored, table
+from curvewright.llm.common import bounded, query, stored, table
 
 #: Public vocabularies of both sides; the paths are parameters.
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
@@ -93,15 +93,31 @@ def _spelled(ids: pa.ListArray, names: pa.Array, wanted: pa.Array) -> np.ndarray
 
 
 def _tokens(ids: pa.ListArray, names: pa.Array) -> pa.Table:
-    """One row per token: its document, id, place and the byte where it ends in its document."""
+    """One row per token: its document, id and the byte of the chunk where it ends."""
     flat = pc.list_flatten(ids)
-    doc = pc.list_parent_indices(ids).cast(pa.int64())
-    size = pc.binary_length(names.take(flat)).cast(pa.int64())
-    run = pc.cumulative_sum(size)
-    # A running sum of all lengths, less what it was where the document starts.
-    before = pa.array(np.concatenate([[0], run.to_numpy()]))
-    starts = before.take(ids.offsets.slice(0, len(ids)))
-    return pa.table({"doc": doc, "id": flat, "at": np.arange(len(flat)), "end": pc.subtract(run, starts.take(doc))})
+    end = pc.cumulative_sum(pc.binary_length(names.take(flat)).cast(pa.int64()))
+    return pa.table({"doc": pc.list_parent_indices(ids).cast(pa.int64()), "id": flat, "end": end})
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where two ascending arrays without repeats hold the same values."""
+    at = np.searchsorted(b, a)
+    same = np.flatnonzero(b[np.minimum(at, len(b) - 1)] == a) if len(b) else np.zeros(0, np.int64)
+    return same, at[same]
+
+
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of the weights of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(weights[order], first) if len(keys) else np.zeros(0, np.int64)
+
+
+def _counted(side: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, id and number of the distinct ids of each group, by group."""
+    keys, times = np.unique(side["group"].to_numpy() << 32 | side["id"].to_numpy(), return_counts=True)
+    return keys >> 32, keys & 0xFFFFFFFF, times
 
 
 def _groups(tokens: pa.Table, cuts: np.ndarray) -> np.ndarray:
@@ -131,12 +147,13 @@ def align_texts(both: Tokenizers, texts: list[str]) -> tuple[dict[str, pa.Array]
     a, b = (pc.if_else(pa.array(good), ids, none) for ids in (a, b))
     left, right = _tokens(a, both.a_bytes), _tokens(b, both.b_bytes)
 
-    cuts = left.select(["doc", "end", "at"]).join(
-        right.select(["doc", "end", "at"]), ["doc", "end"], join_type="inner", right_suffix="_b", use_threads=False
-    )
-    left = left.append_column("group", pa.array(_groups(left, cuts["at"].to_numpy())))
-    right = right.append_column("group", pa.array(_groups(right, cuts["at_b"].to_numpy())))
-    n_all = len(cuts)
+    # Kept texts have the same bytes on both sides, so ends count on through the chunk and
+    # rise on both: where a token of each ends is a cut.
+    ends, others = left["end"].to_numpy(), right["end"].to_numpy()
+    left_cuts, right_cuts = _common(ends, others)
+    left = left.append_column("group", pa.array(_groups(left, left_cuts)))
+    right = right.append_column("group", pa.array(_groups(right, right_cuts)))
+    n_all = len(left_cuts)
     group_doc = np.zeros(n_all, np.int64)
     group_doc[left["group"].to_numpy()] = left["doc"].to_numpy()
     sizes = [np.bincount(side["group"].to_numpy(), minlength=n_all) for side in (left, right)]
@@ -155,22 +172,22 @@ def align_texts(both: Tokenizers, texts: list[str]) -> tuple[dict[str, pa.Array]
     }
 
     # Links with their multiplicities: equal tokens of a group are counted before they meet.
-    def counted(side, name):
-        found = side.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")])
-        return found.rename_columns(["group", name, f"m_{name}"])
-
-    met = counted(left, "a").join(counted(right, "b"), "group", join_type="inner", use_threads=False)
-    met = pa.table({
-        "doc": pa.array(group_doc).take(met["group"]),
-        "a": met["a"],
-        "b": met["b"],
-        "m": pc.multiply(met["m_a"], met["m_b"]),
+    (a_group, a_id, a_m), (b_group, b_id, b_m) = (_counted(side) for side in (left, right))
+    first = np.searchsorted(b_group, a_group)
+    partners = np.searchsorted(b_group, a_group, side="right") - first
+    at = np.repeat(np.arange(len(a_group)), partners)
+    to = np.arange(len(at)) - np.repeat(np.cumsum(partners) - partners, partners) + first[at]
+    wide, ids = len(both.a_bytes) * len(both.b_bytes), a_id[at] * len(both.b_bytes) + b_id[to]
+    links, times = _summed(group_doc[a_group[at]] * wide + ids, a_m[at] * b_m[to])
+    owner, ids = links // wide, links % wide
+    for name, values in (("__a", ids // len(both.b_bytes)), ("__b", ids % len(both.b_bytes)), ("__m", times)):
+        columns[name] = _lists(owner, n, pa.array(values, pa.int64() if name == "__m" else pa.int32()))
+    ids, texts_with = np.unique(ids, return_counts=True)
+    pairs = pa.table({
+        "a": pa.array(ids // len(both.b_bytes), pa.int32()),
+        "b": pa.array(ids % len(both.b_bytes), pa.int32()),
+        "count_all": pa.array(texts_with, pa.int64()),
     })
-    links = met.group_by(["doc", "a", "b"], use_threads=False).aggregate([("m", "sum")]).sort_by("doc").combine_chunks()
-    owner = links["doc"].to_numpy()
-    for name, source in (("__a", "a"), ("__b", "b"), ("__m", "m_sum")):
-        columns[name] = _lists(owner, n, links[source].combine_chunks())
-    pairs = links.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
     return columns, pairs
 
 
@@ -220,7 +237,7 @@ def align(docs: DataFrame, first: str = BYTE_BPE, second: str = PIECE_BPE) -> Da
                     yield from rows(ids.slice(at, len(texts)), texts)
                     texts, at, size = [], i + 1, 0
 
-    return docs.select("doc_id", F.col("text").alias("__text")).mapInArrow(run, schema)
+    return bounded(docs.select("doc_id", F.col("text").alias("__text"))).mapInArrow(run, schema)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

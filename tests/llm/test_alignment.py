@@ -116,3 +116,23 @@ def test_no_rows_and_a_very_long_text(spark):
     got = {r["doc_id"]: r for r in alignment.with_counts(alignment.align(spark.createDataFrame(long, "doc_id long, text string"))).collect()}
     assert got[1]["n_links"] >= got[1]["n_groups"] > 200_000 and got[1]["n_best"] <= got[1]["n_links"]
     assert got[2]["count_sum"] >= 2 * got[2]["n_groups"] - 1
+
+
+def test_links_are_found_without_a_hash_join(monkeypatch):
+    import pyarrow.acero
+
+    def refuse(*_, **__):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(pyarrow.acero, "_perform_join", refuse)
+    both = alignment.Tokenizers(alignment.read(alignment.BYTE_BPE), open(alignment.PIECE_BPE, "rb").read())
+    texts = ["the cat sat", "", "aaaa " * 40, "the cat, the dog\n"]
+    columns, pairs = alignment.align_texts(both, texts)
+    rows = zip(*(columns[c].to_pylist() for c in ("__a", "__b", "__m")), strict=True)
+    found = [list(zip(*row, strict=True)) for row in rows]
+    assert [sum(m for *_, m in row) for row in found] == columns["n_links"].to_pylist()
+    held = {}
+    for row in found:
+        for a, b, _ in row:
+            held[a, b] = held.get((a, b), 0) + 1
+    assert held == {(a, b): n for a, b, n in zip(*(pairs[c].to_pylist() for c in ("a", "b", "count_all")), strict=True)}

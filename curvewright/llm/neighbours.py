@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import checkpointed, query, stored, table
+from curvewright.llm.common import Rewritten, query, stored, table
 
 #: Neighbours of each node; most members of one comparison in a task.
 DEGREE, BLOCK = 30, 256
@@ -156,11 +156,12 @@ def graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 7) -> DataFrame:
     that is new are compared and only pairs better than the worse end's list are
     emitted, so rounds get cheaper; they end when few edges change. The members
     around a node that many point to are cut into parts, so a hub is many small
-    groups. Each round is checkpointed.
+    groups. Each round is written once.
     """
     count = nodes.count()
     edges = _first_graph(nodes, count, degree, seed).withColumn("fresh", F.lit(True))
-    edges = checkpointed(_top(edges, degree))
+    rounds, joined = Rewritten("edges"), Rewritten("ties")
+    edges = rounds.put(_top(edges, degree))
 
     def join_around(ties: pa.Table, members: pa.Table) -> pa.Table:
         ids, inverse = np.unique(members["member"].to_numpy(), return_index=True)
@@ -203,7 +204,7 @@ def graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 7) -> DataFrame:
             .select("center", "part", "member", "fresh")
             .withColumn("bucket", F.pmod(F.xxhash64("center", "part"), F.lit(buckets)))
         )
-        ties = checkpointed(ties)
+        ties = joined.put(ties)
         # A vector goes to a bucket once, however many of its surroundings it is in.
         needed = ties.select(F.col("bucket").alias("place"), F.col("member").alias("which")).distinct()
         needed = needed.join(members, F.col("which") == F.col("member")).select("place", "member", "vec", "worst")
@@ -212,7 +213,7 @@ def graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 7) -> DataFrame:
             .cogroup(needed.groupBy("place"))
             .applyInArrow(join_around, "u long, v long, s float")
         )
-        edges = checkpointed(
+        edges = rounds.put(
             _top(
                 edges.withColumn("fresh", F.lit(False)).unionByName(better.withColumn("fresh", F.lit(True))), degree
             )
@@ -232,7 +233,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), F.xxhash64("u", "v"), "v"))
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "s").withColumn("r", rank)
-    ways = checkpointed(edges.select("u", "v").unionByName(back.where(F.col("r") <= 2 * DEGREE).select("u", "v")).distinct())
+    ways = edges.select("u", "v").unionByName(back.where(F.col("r") <= 2 * DEGREE).select("u", "v")).distinct()
+    ways, beams = stored(ways, "ways"), Rewritten("beam")
     asked = queries.select(F.col("node").alias("q")).distinct()
     # Written, so that the engine broadcasts it if it really is small.
     asked = stored(asked.join(nodes, asked["q"] == nodes["node"]).select("q", F.col("vec").alias("qvec")), "asked")
@@ -244,7 +246,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
             s = np.einsum("ij,ij->i", *(_units(batch.column(i)) for i in (2, 3))) if len(batch) else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float32())], names=["q", "v", "s"])
 
-    beam = checkpointed(
+    beam = beams.put(
         asked.select("q", F.col("q").alias("v"), F.lit(2.0).cast("float").alias("s"), F.lit(False).alias("done"))
     )
     while True:  # a beam only improves, so no node that left it returns and this ends
@@ -260,7 +262,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .withColumn("done", F.lit(False))
         )
         # A node met again is measured again, and is one row with what the beam knew of it.
-        beam = checkpointed(
+        beam = beams.put(
             turn.select("q", "v", "s", (F.col("done") | F.col("now")).alias("done"))
             .unionByName(measured)
             .repartition("q")
@@ -282,9 +284,10 @@ def _scored(asked: DataFrame, rows: DataFrame, found: DataFrame, k: int) -> Data
     """
     held = rows.groupBy("node", "own").agg(F.first("vec").alias("vec"), F.min("vec_id").alias("least"))
     size = F.count(F.lit(1))
-    full = checkpointed(
+    full = stored(
         held.groupBy("node").agg(size.alias("n")).where(F.col("n") > FEW)
-        .select("node", F.ceil(F.col("n") / BLOCK).alias("tiles"))
+        .select("node", F.ceil(F.col("n") / BLOCK).alias("tiles")),
+        "full",
     )
     asks = asked.groupBy(F.col("node").alias("at"), F.col("own").alias("q")).agg(F.first("vec").alias("qvec"))
     asks = asks.join(found.select(F.col("q").alias("at"), F.col("v").alias("node")), "at").drop("at")
@@ -344,13 +347,13 @@ def nearest(vectors: DataFrame, chosen, k: int = 5) -> DataFrame:
     vec_ids as members: more of them can never be among the ``k`` nearest, as a
     query itself is at most one of them.
     """
-    rows = checkpointed(_coded(prepared(vectors).distinct()))
-    nodes = checkpointed(rows.groupBy("node").agg(F.first("code").alias("vec")))
+    rows = stored(_coded(prepared(vectors).distinct()), "coded")
+    nodes = stored(rows.groupBy("node").agg(F.first("code").alias("vec")), "nodes")
     rank = F.row_number().over(Window.partitionBy("own").orderBy("vec_id"))
     members = rows.select("own", "vec_id").withColumn("r", rank).where(F.col("r") <= k + 1).drop("r")
     asked = rows.where(chosen)
     queries = asked.select(F.col("vec_id").alias("query_id"), F.col("own").alias("q"))
-    found = checkpointed(search(asked.select("node"), nodes, graph(nodes)))
+    found = search(asked.select("node"), nodes, graph(nodes))
     scored = _scored(asked, rows, found, k)
     order = Window.partitionBy("q").orderBy(F.desc("score"), "least")
     # The k nearest rows are of the k + 1 nearest vectors, as one may hold but the query itself.

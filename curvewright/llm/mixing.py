@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import WORD, checkpointed, query, stored, table
+from curvewright.llm.common import WORD, query, stored, table
 
 #: Weights of the sources in code-point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
@@ -15,10 +15,19 @@ WEIGHTS = (3, 1, 2)
 SHARE_NUM, SHARE_DEN, EPOCHS = 3, 2, 2
 #: Leading hexadecimal digits of the random key: 4096 ranges of each source.
 DIGITS = 3
+#: Copies of a row are told apart in blocks of so many, so no array grows with their number.
+BLOCK = 4096
+#: The bytes between the words of WORD.
+SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def size_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """The number of words: one letter for each, the spaces between them removed.
+
+    ``regexp_count`` would hold an array of all words of a text.
+    """
+    letters = F.translate(F.regexp_replace(text, F.lit(WORD), F.lit("w")), SPACES, "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
 
 
 def random_key(doc_id: Column, text: Column) -> Column:
@@ -77,8 +86,10 @@ def taken(docs: DataFrame) -> DataFrame:
     Identical rows are combined first (a table may repeat one row without
     bound) and told apart again at the end. Prefix sums are distributed: sums
     of each of the 4096 key ranges of a source, a running sum over those, and a
-    window inside each range. A null source is a source of its own; a null text
-    has size 0; an empty table gives an empty result.
+    window inside each range. Sums and windows read the same shuffle of the
+    combined rows, so texts are read once and no table is written in between.
+    A null source is a source of its own; a null text has size 0; an empty
+    table gives an empty result.
     """
     rows = docs.select(
         F.col("doc_id"),
@@ -86,7 +97,7 @@ def taken(docs: DataFrame) -> DataFrame:
         size_of(F.col("text")).alias("size"),
         random_key(F.col("doc_id"), F.col("text")).alias("__key"),
     )
-    rows = checkpointed(rows.groupBy("__source", "doc_id", "size", "__key").agg(F.count(F.lit(1)).alias("__n")))
+    rows = rows.groupBy("__source", "doc_id", "size", "__key").agg(F.count(F.lit(1)).alias("__n"))
     rows = rows.withColumn("__range", F.substring("__key", 1, DIGITS))
     ranges = rows.groupBy("__source", "__range").agg(F.sum(F.col("size") * F.col("__n")).alias("s"))
     earlier = Window.partitionBy("__source").orderBy("__range")
@@ -105,7 +116,11 @@ def taken(docs: DataFrame) -> DataFrame:
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(0)
     joined = placed.join(plan, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__range") == F.col("r")))
-    copies = joined.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)))
+    blocks = joined.withColumn(
+        "__first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(BLOCK).cast("long")))
+    )
+    last = F.least(F.col("__n"), F.col("__first") + BLOCK) - 1
+    copies = blocks.withColumn("__copy", F.explode(F.sequence("__first", last)))
     rest = budget - epochs * F.col("source_size") - F.col("__start") - F.col("__inside") - F.col("__copy") * F.col("size")
     return copies.select(
         "doc_id",

@@ -235,6 +235,37 @@ def test_equal_rows_mix_to_their_target(spark):
     assert mixing.mixed(docs.repartition(3)).count() == 1500
 
 
+def test_a_mix_writes_no_table_and_reads_texts_once(spark, tmp_path):
+    edge_docs(spark).write.parquet(f"{tmp_path}/documents")
+    context = spark.sparkContext
+    context.setJobGroup("op8-taken", "")
+    docs = spark.read.schema(edge_docs(spark).schema).parquet(f"{tmp_path}/documents")
+    begun = list(context.statusTracker().getJobIdsForGroup("op8-taken"))
+    got = mixing.taken(docs)
+    assert list(context.statusTracker().getJobIdsForGroup("op8-taken")) == begun
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got.collect()) == docs.count()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "checkpoint" not in plan
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_copies_of_a_row_are_told_apart_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK", block)
+    docs = spark.sql("SELECT 1L AS doc_id, 'three words here' AS text, 's' AS source FROM range(10)")
+    assert sorted(r["taken"] for r in mixing.taken(docs).collect()) == [3] * 5 + [6] * 5
+
+
+def test_words_are_counted_between_six_kinds_of_space(spark):
+    texts = [
+        "", " ", "w", "w w", "a\tb\nc\x0bd\x0ce\rf g", " \n x", "x \r\n", "\x00 \x01", "a\x1cb\x1f c", "a\u00a0b \u2003",
+        "$1 \\2 \U0001f600 \u0301", "\x08 \x0e", None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = dict(rows.select("i", mixing.size_of(F.col("text"))).collect())
+    assert [got[i] for i in range(len(texts))] == [count_words(t) for t in texts]
+
+
 def test_a_mix_of_whole_documents_meets_its_targets(spark):
     rows = edge_rows(plain=300)
     docs = edge_docs(spark, rows)

@@ -19,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of the rows that go to Python at once, and the setting that says so.
 BATCH, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
+#: Rows of a Parquet table that a task decodes at once where it reads whole texts, and the setting that says so.
+READ_ROWS, READ_ROWS_SETTING = 128, "spark.sql.parquet.columnarReaderBatchSize"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -109,6 +112,18 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+def few_at_once(df: DataFrame) -> DataFrame:
+    """``df`` of whole texts: its session's reader decodes READ_ROWS rows at once, unless it was set otherwise.
+
+    The default of 4096 rows lets the reader's arrays grow with the texts' length, by
+    doubling, anew for every file; each is one large object in the executor's heap.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(READ_ROWS_SETTING, None) is None:
+        conf.set(READ_ROWS_SETTING, str(READ_ROWS))
+    return df
+
+
 def text_map(
     df: DataFrame, text: str, keep: list[str], added: str, work: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curvewright.llm.common import WORD, query, stored, table
+from curvewright.llm.common import WORD, few_at_once, query, stored, table
 
 #: Weights of the sources in code-point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
@@ -91,7 +91,7 @@ def taken(docs: DataFrame) -> DataFrame:
     A null source is a source of its own; a null text has size 0; an empty
     table gives an empty result.
     """
-    rows = docs.select(
+    rows = few_at_once(docs).select(
         F.col("doc_id"),
         F.col("source").alias("__source"),
         size_of(F.col("text")).alias("size"),

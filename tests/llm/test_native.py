@@ -256,6 +256,32 @@ def test_copies_of_a_row_are_told_apart_in_blocks(spark, monkeypatch, block):
     assert sorted(r["taken"] for r in mixing.taken(docs).collect()) == [3] * 5 + [6] * 5
 
 
+def test_whole_texts_are_read_few_rows_at_a_time(spark, tmp_path):
+    import corpus_pipeline
+    from curvewright.llm import common
+
+    edge_docs(spark).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.schema(edge_docs(spark).schema).parquet(f"{tmp_path}/documents")
+    rows = lambda d: sorted(map(str, d.collect()))
+    setting, stages = common.READ_ROWS_SETTING, dict(corpus_pipeline.STAGES)
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.set(setting, "4096")
+        whole = rows(stages["mixture"](spark, docs, SF_DIR))
+        assert spark.conf.get(setting) == "4096"  # the session's own choice stays
+        spark.conf.unset(setting)
+        mixing.taken(docs)
+        assert int(spark.conf.get(setting)) == common.READ_ROWS < 4096
+        for name, stage in stages.items():
+            spark.conf.unset(setting)
+            got = stage(spark, docs, SF_DIR)
+            assert int(spark.conf.get(setting)) == common.READ_ROWS, name
+            if name == "mixture":
+                assert rows(got) == whole
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def test_words_are_counted_between_six_kinds_of_space(spark):
     texts = [
         "", " ", "w", "w w", "a\tb\nc\x0bd\x0ce\rf g", " \n x", "x \r\n", "\x00 \x01", "a\x1cb\x1f c", "a\u00a0b \u2003",
